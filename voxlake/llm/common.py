@@ -37,6 +37,15 @@ def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A table of at most so many rows is sent to all executors; beyond it, both sides of a join are shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df, to be broadcast if a count shows that it is small. df should be a written table of short rows."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+
+
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
     """Lower (never raise) the number of rows in an Arrow batch, so that a batch of long texts stays small."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

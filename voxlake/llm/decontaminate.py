@@ -19,13 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import materialise, row_key
+from voxlake.llm.common import BROADCAST_ROWS, materialise, row_key, small_side
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words: all ASCII but digits and lower-case letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A benchmark side of at most so many rows is broadcast; beyond it, both sides are shuffled.
-BROADCAST_ROWS = 200_000
 
 
 def words_of(text: Column) -> Column:
@@ -34,10 +32,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, SEPARATORS, -1), "")
 
 
-def _checked(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
-
-
 def item_words(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per item text and word: item, part (tells texts of a repeated id apart), at, word, left and right words."""
     base = (
@@ -64,10 +58,11 @@ def common_prefix(a: Column, b: Column) -> Column:
 def term_counts(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     """Occurrences in the training table of each of `terms` (column word)."""
     rows = terms.count()
-    found = docs.select(F.explode(words_of(F.col(text_col))).alias("word")).withColumn("h", F.xxhash64("word"))
+    # the outer form: the other one makes Spark split every text twice, for a filter on its size
+    found = docs.select(F.explode_outer(words_of(F.col(text_col))).alias("word")).withColumn("w", F.xxhash64("word"))
     small = terms.select(F.col("word").alias("term"), F.xxhash64("word").alias("h"))
     return (
-        found.join(_checked(small, rows), (found.h == small.h) & (found.word == small.term))
+        found.join(small_side(small, rows), (F.col("w") == F.col("h")) & (F.col("word") == F.col("term")))
         .groupBy("term").agg(F.count("*").alias("cnt"))
     )
 
@@ -88,21 +83,45 @@ def anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     ).withColumn("h", F.xxhash64("term"))
 
 
+def postings(docs: DataFrame, terms: DataFrame, *, reach: int, id_col: str, text_col: str) -> DataFrame:
+    """The positional index for `terms` (distinct, column term), stored: term, h, id, key, q (position), before, after.
+
+    The word array of a document stays inside one generated loop and never goes into the exploded rows: with a
+    broadcast term list the words around a posting are cut out right behind the look-up, and with a shuffled one the
+    positions go back to their document and are cut out there.
+    """
+    rows = terms.count()
+    small = terms.select("term", F.xxhash64("term").alias("h"))
+    tokens = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), words_of(F.col(text_col)).alias("words"))
+    if rows <= BROADCAST_ROWS:
+        posted = tokens.select("id", "key", "words", F.posexplode_outer("words").alias("q", "word")).withColumn("w", F.xxhash64("word"))
+        met = posted.join(F.broadcast(small), (F.col("w") == F.col("h")) & (F.col("word") == F.col("term")))
+        before, after = around("words", "q", reach)
+        return materialise(met.select("term", "h", "id", "key", "q", before.alias("before"), after.alias("after")), "postings")
+    posted = tokens.select("id", "key", F.posexplode_outer("words").alias("q", "word"))
+    met = posted.join(small, F.col("word") == F.col("term")).groupBy(F.col("id").alias("at_id"), F.col("key").alias("at_key")).agg(F.collect_list(F.struct("term", "h", "q")).alias("ps"))
+
+    def cut(p):
+        before = F.reverse(F.slice("words", F.greatest(p["q"] - reach, F.lit(0)) + 1, F.least(p["q"], F.lit(reach))))
+        return F.struct(p["term"].alias("term"), p["h"].alias("h"), p["q"].alias("q"), before.alias("before"), F.slice("words", p["q"] + 2, F.lit(reach)).alias("after"))
+
+    back = tokens.join(met, F.col("id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key")))
+    found = back.select("id", "key", F.explode(F.transform("ps", cut)).alias("p")).select("p.term", "p.h", "id", "key", "p.q", "p.before", "p.after")
+    return materialise(found, "postings")
+
+
 def phrase_matches(docs: DataFrame, items: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Exact matches: id, key, item, and first and last hit word position, one row per run of matching words."""
     rows = materialise(item_words(items, item_id, item_text), "item_words")
     counts = materialise(term_counts(docs, rows.select("word").distinct(), text_col), "term_counts")
     wanted = materialise(anchors(rows, counts, window), "anchors")
-    tokens = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), words_of(F.col(text_col)).alias("words"))
-    posted = tokens.select("id", "key", "words", F.posexplode("words").alias("q", "word")).withColumn("h", F.xxhash64("word"))
-    small = _checked(wanted, wanted.count())
-    hits = posted.join(small, (posted.h == small.h) & (posted.word == small.term))
-    left, right = around("words", "q", window - 1)
+    index = postings(docs, wanted.select("term").distinct(), reach=window - 1, id_col=id_col, text_col=text_col)
+    hits = index.join(small_side(wanted), ["h", "term"])
     runs = hits.select(
         "id", "key", "item", "need", "q",
-        common_prefix(left, F.col("item_left")).alias("l"), common_prefix(right, F.col("item_right")).alias("r"),
+        common_prefix(F.col("before"), F.col("item_left")).alias("l"), common_prefix(F.col("after"), F.col("item_right")).alias("r"),
     )
-    # item contexts end with the item, so a run never goes beyond it; both contexts are clipped to the window's reach
+    # the words around an item's position end with the item, so a run never goes beyond it
     return (
         runs.filter(F.col("l") + F.col("r") + 1 >= F.col("need"))
         .select("id", "key", "item", (F.col("q") - F.col("l")).alias("first"), (F.col("q") + F.col("r")).alias("last"))
@@ -122,6 +141,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 10, id_col
     )
     named = found.groupBy("id", "key").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
     hit = union.join(named, union.id.eqNullSafe(named.id) & (union.key == named.key)).select(union.id.alias("hit_id"), union.key.alias("hit_key"), "n_hit", "items")
+    hit = small_side(materialise(hit, "hits"))
     base = docs.withColumn("n_words", F.size(words_of(F.col(text_col))).cast("long")).withColumn("hit_row", row_key(id_col, text_col))
     keep = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "n_items", "contaminated")]
     return base.join(hit, base[id_col].eqNullSafe(F.col("hit_id")) & (F.col("hit_row") == F.col("hit_key")), "left").select(
@@ -144,7 +164,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, *, terms: int = 3, span
     full = rare.groupBy("item", "part").agg(F.count("*").alias("m")).filter(F.col("m") == terms)
     wanted = materialise(rare.join(full, ["part"]).select(rare["item"], "part", "term").distinct(), "rare_terms")
     posted = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.posexplode(words_of(F.col(text_col))).alias("q", "word"))
-    hits = posted.join(_checked(wanted, wanted.count()), F.col("word") == F.col("term"))
+    hits = posted.join(small_side(wanted), F.col("word") == F.col("term"))
     ahead = W.partitionBy("id", "key", "item", "part").orderBy("q").rangeBetween(0, span - 1)
     return (
         hits.withColumn("met", F.size(F.collect_set("term").over(ahead))).filter(F.col("met") == terms)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import materialise, row_key
+from voxlake.llm.common import materialise, row_key, small_side
 
 LOWEST = -(2**63)
 
@@ -49,6 +49,9 @@ def dedup_lines(docs: DataFrame, *, window: int = 3, id_col: str = "doc_id", tex
         later.groupBy("sid", "key").agg(F.collect_set("at").alias("at"))
         .select(F.col("sid").alias("cut_sid"), F.col("key").alias("cut_key"), F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + (window - 1))))).alias("cut"))
     )
+    covered = materialise(covered, "covered")
+    # the texts are only shuffled where the list of documents to cut is long
+    covered = small_side(covered, covered.agg(F.sum(1 + F.size("cut") / 20)).first()[0] or 0)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     base = docs.select(*keep).withColumn("cut_row", row_key(id_col, text_col))
     joined = base.join(covered, (F.coalesce(base[id_col], F.lit(LOWEST)) == F.col("cut_sid")) & (F.col("cut_row") == F.col("cut_key")), "left")
