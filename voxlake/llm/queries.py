@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxlake.llm.decontaminate import contamination
 from voxlake.llm.line_dedup import dedup_lines
 from voxlake.llm.near_dup import near_duplicates
+from voxlake.llm.quality import quality_scores, train
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +28,23 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), window=3)
 
 
+def hashed_id(modulus: int):
+    """crc32 of the id as text, modulo: which rows may be learnt from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % modulus
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    return train(docs, table(spark, sf_dir, "labels"), allowed=hashed_id(3) != 1)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_scores(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", (hashed_id(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op8_quality": op8_quality,
     "op4_near_dup": op4_near_dup,
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
