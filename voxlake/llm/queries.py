@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxlake.llm import langid
 from voxlake.llm.decontaminate import contamination
 from voxlake.llm.line_dedup import dedup_lines
 from voxlake.llm.near_dup import near_duplicates
@@ -33,6 +34,12 @@ def hashed_id(modulus: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % modulus
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = langid.train(docs.filter(hashed_id(4) != 2))
+    return langid.identify(docs.select("doc_id", "text"), models, reject=False).select("doc_id", (hashed_id(4) == 2).alias("held_out"), "lang_pred", "score", "bits", "rejected")
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
     return train(docs, table(spark, sf_dir, "labels"), allowed=hashed_id(3) != 1)
 
@@ -44,6 +51,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op8_quality": op8_quality,
     "op4_near_dup": op4_near_dup,
     "op5_decontaminate": op5_decontaminate,
