@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.llm import langid
+from voxlake.llm.common import scratch_path
 from voxlake.llm.decontaminate import contamination
 from voxlake.llm.line_dedup import dedup_lines
 from voxlake.llm.near_dup import near_duplicates
+from voxlake.llm.packing import pack_documents
 from voxlake.llm.quality import quality_scores, train
+from voxlake.llm.token_output import read_back, write_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +53,26 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (hashed_id(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=2)
+    return read_back(spark, path)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2, window=4096)
+
+
 QUERIES = {
+    "op7_token_output": op7_token_output,
+    "op10_packing": op10_packing,
     "op1_language_id": op1_language_id,
     "op8_quality": op8_quality,
     "op4_near_dup": op4_near_dup,
