@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import bounded_batches, materialise, spans, text_buffer
+from voxlake.llm.common import bounded_batches, materialise, small_side, spans, text_buffer
 from voxlake.llm.graph import components
 from voxlake.llm.shingles import mix, shingle_sets, signatures
 
@@ -128,7 +128,9 @@ def links(docs: DataFrame, reps: DataFrame, *, id_col: str, text_col: str, width
     posts = materialise(prefixes(reps, matches), "prefixes")
     nodes = posts.select("node").distinct()
     some = materialise(reps.join(nodes, "node", "left_semi").select("node", "n", "sig"), "candidates")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("node"), F.col(text_col).alias("text")).join(nodes, "node", "left_semi")
+    # the texts are only shuffled where many classes are candidates
+    wanted = small_side(some.select("node"))
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("node"), F.col(text_col).alias("text")).join(wanted, "node", "left_semi")
     sets = materialise(texts.mapInArrow(lambda it: _with_sets(it, width), "node long, shingles binary"), "sets")
     found, tried, comp = None, None, posts.select("node", F.col("node").alias("component")).distinct()
     for turn in range(HUB_ROUNDS + 1):
