@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.llm import langid
+from voxlake.llm.chat import format_conversations, read_conversations
 from voxlake.llm.common import scratch_path
 from voxlake.llm.decontaminate import contamination
 from voxlake.llm.line_dedup import dedup_lines
@@ -43,6 +44,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), models, reject=False).select("doc_id", (hashed_id(4) == 2).alias("held_out"), "lang_pred", "score", "bits", "rejected")
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return read_conversations(format_conversations(turns), ordered=True)
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
     return train(docs, table(spark, sf_dir, "labels"), allowed=hashed_id(3) != 1)
 
@@ -71,6 +79,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_chat_format": op3_chat_format,
     "op7_token_output": op7_token_output,
     "op10_packing": op10_packing,
     "op1_language_id": op1_language_id,
@@ -81,6 +90,15 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(14 + length(role) + len(regexp_extract_all(role, '\\|###|</turn>|:')) + length(text) + len(regexp_extract_all(text, '\\|###|</turn>'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
     "op4_near_dup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
