@@ -9,6 +9,7 @@ from voxlake.llm import langid
 from voxlake.llm.chat import format_conversations, read_conversations
 from voxlake.llm.common import scratch_path
 from voxlake.llm.decontaminate import contamination
+from voxlake.llm.html import main_text
 from voxlake.llm.line_dedup import dedup_lines
 from voxlake.llm.near_dup import near_duplicates
 from voxlake.llm.packing import pack_documents
@@ -74,6 +75,10 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, path)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2, window=4096)
 
@@ -81,6 +86,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op7_token_output": op7_token_output,
+    "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
     "op1_language_id": op1_language_id,
     "op8_quality": op8_quality,
