@@ -26,7 +26,7 @@ from voxlake.llm.tokens import encoder
 FILE_BYTES = 24 << 20
 
 
-def token_rows(docs: DataFrame, vocabulary: str, *, end_id: int | None, text_col: str = "text", remember: int = 400_000) -> DataFrame:
+def token_rows(docs: DataFrame, vocabulary: str, *, end_id: int | None, text_col: str = "text", slots: int = 1 << 20) -> DataFrame:
     """docs with ids and n_tokens in place of the text; order and partitions stay."""
     bounded_batches(docs.sparkSession, 256)
     keep = [c for c in docs.columns if c not in (text_col, "ids", "n_tokens")]
@@ -35,7 +35,7 @@ def token_rows(docs: DataFrame, vocabulary: str, *, end_id: int | None, text_col
     tail = [] if end_id is None else [end_id]
 
     def encoded(batches):
-        encode = encoder(vocabulary, remember)
+        encode = encoder(vocabulary, slots)
         for batch in batches:
             ids = encode(batch.column(len(keep)).to_pylist())
             flat = np.concatenate([x for own in ids for x in (own, np.array(tail, np.int32))] or [np.zeros(0, np.int32)])
@@ -46,13 +46,13 @@ def token_rows(docs: DataFrame, vocabulary: str, *, end_id: int | None, text_col
     return source.mapInArrow(encoded, schema)
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", row_group_bytes: int = 8 << 20, page_rows: int = 2_000, remember: int = 400_000) -> None:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", row_group_bytes: int = 8 << 20, page_rows: int = 2_000, slots: int = 1 << 20) -> None:
     """Write docs' ids to `path` in ascending id order, one range of ids for each file."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     files = max(1, math.ceil(size / FILE_BYTES))
     tie = F.xxhash64(text_col)
     ranged = docs.select(id_col, text_col).repartitionByRange(files, F.col(id_col), tie).sortWithinPartitions(F.col(id_col), tie)
-    rows = token_rows(ranged, vocabulary, end_id=end_id, text_col=text_col, remember=remember).withColumnRenamed(id_col, "doc_id").withColumn("file", F.spark_partition_id())
+    rows = token_rows(ranged, vocabulary, end_id=end_id, text_col=text_col, slots=slots).withColumnRenamed(id_col, "doc_id").withColumn("file", F.spark_partition_id())
     rows.write.options(**{
         "compression": "zstd", "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": row_group_bytes, "parquet.page.row.count.limit": page_rows,
         "parquet.enable.dictionary": "true", "parquet.enable.dictionary#doc_id": "false", "parquet.enable.dictionary#n_tokens": "false",
