@@ -1,8 +1,10 @@
-"""Connected components by alternating large-star and small-star steps (Kiveris et al., 2014)."""
+"""Connected components by alternating large-star and small-star steps (Kiveris et al., 2014), and links by hubs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import materialise
@@ -39,3 +41,61 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     stars = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.union(roots)
+
+
+#: Rounds with one hub for each posting list before all remaining pairs are joined.
+HUB_ROUNDS = 3
+
+
+def hub_links(posts: DataFrame, confirm: Callable[[DataFrame], DataFrame], fits: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Confirmed links (u, v) that connect all that any links within posting lists would connect.
+
+    posts: (node, token) and, if `fits` is given, the column n that it compares for two nodes. confirm: takes distinct
+    candidate pairs (hub, node), hub < node, and returns the links (u, v) among them.
+
+    In a round every list joins all its members to one hub; members that are in one component with it already are
+    skipped. The last round joins every pair of a list whose nodes are still in different components, so nothing that
+    shares a list is left untried.
+    """
+    nodes = posts.select("node").distinct()
+    found, tried, comp = None, None, nodes.withColumn("component", F.col("node"))
+    for turn in range(HUB_ROUNDS + 1):
+        members = posts.join(comp, "node")
+        order = F.xxhash64("node", F.lit(turn))
+        mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by("node", order).alias("hub"), F.min_by("component", order).alias("hub_component")).filter("lo <> hi")
+        if turn < HUB_ROUNDS:
+            pairs = members.join(mixed.select("token", "hub", "hub_component"), "token").filter("component <> hub_component").select("hub", "node")
+        else:
+            left = members.join(mixed.select("token"), "token")
+            other = left.select("token", F.col("node").alias("hub"), F.col("component").alias("hub_component"), *([F.col("n").alias("hub_n")] if fits else []))
+            apart = (F.col("hub") < F.col("node")) & (F.col("component") != F.col("hub_component"))
+            pairs = left.join(other, "token").filter(apart & fits(F.col("n"), F.col("hub_n")) if fits else apart).select("hub", "node")
+        pairs = pairs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["hub", "node"], "left_anti")
+        fresh = materialise(pairs, "pairs")
+        if fresh.isEmpty():
+            if turn == HUB_ROUNDS or mixed.isEmpty():
+                break
+            continue
+        tried = fresh if tried is None else tried.union(fresh)
+        new = materialise(confirm(fresh), "links")
+        found = new if found is None else found.union(new)
+        if turn < HUB_ROUNDS:
+            comp = materialise(nodes.join(components(found), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
+    return found if found is not None else posts.sparkSession.createDataFrame([], "u long, v long")
+
+
+#: Members that are compared with one hub in one block.
+BLOCK = 256
+
+
+def by_hub(pairs: DataFrame, payload: DataFrame) -> DataFrame:
+    """Rows (hub, block, own, node, payload) for pairs (hub, node), dealt and sorted so that a streaming function meets
+    a hub's own row (own = 0) before each block of its partners; payload: (node, payload), one row for each node."""
+    sized = pairs.groupBy("hub").agg(F.count("*").alias("of"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("of") / BLOCK)).cast("long")
+    dealt = pairs.join(sized, "hub").withColumn("block", F.pmod(F.xxhash64("node"), blocks)).select("hub", "block", "node")
+    ones = dealt.join(payload, "node").select("hub", "block", F.lit(1).alias("own"), "node", "payload")
+    hubs = dealt.select("hub", "block").distinct().join(payload, F.col("hub") == F.col("node")).select("hub", "block", F.lit(0).alias("own"), F.col("hub").alias("node"), "payload")
+    return ones.union(hubs).repartition("hub", "block").sortWithinPartitions("hub", "block", "own")

@@ -22,18 +22,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import bounded_batches, materialise, small_side, spans, text_buffer
-from voxlake.llm.graph import components
+from voxlake.llm.graph import by_hub, components, hub_links
 from voxlake.llm.shingles import mix, shingle_sets, signatures
 
 LOWEST = -(2**63)
-#: Rounds with one hub for each posting list before all remaining pairs are joined.
-HUB_ROUNDS = 3
-#: Members that are compared with one hub in one block.
-BLOCK = 256
 
 
 def _signed(batches, width: int, coordinates: int):
@@ -68,7 +63,7 @@ def _with_sets(batches, width: int):
         data, offsets = text_buffer(batch.column(1))
         for a, b in spans(offsets):
             sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "payload"])
 
 
 def prefixes(reps: DataFrame, matches: int) -> DataFrame:
@@ -104,62 +99,31 @@ def _confirm(batches, threshold: int):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links (u, v) among candidate pairs (hub, node): every block of a hub's partners meets the hub's set once."""
-    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(1 << 20)) % F.greatest(F.lit(1), F.ceil(F.col("of") / BLOCK)).cast("long")).select("hub", "block", "node")
-    ones = dealt.join(sets, "node").select("hub", "block", F.lit(1).alias("own"), "node", "shingles")
-    hubs = dealt.select("hub", "block").distinct().join(sets, F.col("hub") == F.col("node")).select("hub", "block", F.lit(0).alias("own"), F.col("hub").alias("node"), "shingles")
-    met = ones.union(hubs).repartition("hub", "block").sortWithinPartitions("hub", "block", "own")
-    return met.mapInArrow(lambda it: _confirm(it, threshold), "u long, v long")
-
-
 def _agreeing(pairs: DataFrame, reps: DataFrame, matches: int, threshold: int) -> DataFrame:
     """Pairs whose sizes allow the threshold and that agree in at least `matches` coordinates."""
     one, two = (reps.select(F.col("node").alias(f"{x}_node"), F.col("sig").alias(f"{x}_sig"), F.col("n").alias(f"{x}_n")) for x in "ab")
     both = pairs.join(one, F.col("hub") == F.col("a_node")).join(two, F.col("node") == F.col("b_node"))
     agree = F.aggregate(F.zip_with("a_sig", "b_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    sizes = 100 * F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n")
-    kept = both.filter(sizes).filter(agree >= matches).select("hub", "node")
-    return kept
+    return both.filter(_sizes_fit(F.col("a_n"), F.col("b_n"), threshold)).filter(agree >= matches).select("hub", "node")
+
+
+def _sizes_fit(a, b, threshold: int):
+    return 100 * F.least(a, b) >= threshold * F.greatest(a, b)
 
 
 def links(docs: DataFrame, reps: DataFrame, *, id_col: str, text_col: str, width: int, matches: int, threshold: int) -> DataFrame:
     """Confirmed links between classes: enough of them to connect what all links would connect."""
     posts = materialise(prefixes(reps, matches), "prefixes")
-    nodes = posts.select("node").distinct()
-    some = materialise(reps.join(nodes, "node", "left_semi").select("node", "n", "sig"), "candidates")
+    some = materialise(reps.join(posts.select("node").distinct(), "node", "left_semi").select("node", "n", "sig"), "candidates")
     # the texts are only shuffled where many classes are candidates
     wanted = small_side(some.select("node"))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("node"), F.col(text_col).alias("text")).join(wanted, "node", "left_semi")
-    sets = materialise(texts.mapInArrow(lambda it: _with_sets(it, width), "node long, shingles binary"), "sets")
-    found, tried, comp = None, None, posts.select("node", F.col("node").alias("component")).distinct()
-    for turn in range(HUB_ROUNDS + 1):
-        members = posts.join(comp, "node")
-        mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("hub"), F.min_by("component", F.xxhash64("node", F.lit(turn))).alias("hub_component")).filter("lo <> hi")
-        if turn < HUB_ROUNDS:
-            pairs = members.join(mixed.select("token", "hub", "hub_component"), "token").filter("component <> hub_component").select("hub", "node")
-        else:
-            left = members.join(mixed.select("token"), "token")
-            other = left.select("token", F.col("node").alias("hub"), F.col("component").alias("hub_component"), F.col("n").alias("hub_n"))
-            pairs = left.join(other, "token").filter((F.col("hub") < F.col("node")) & (F.col("component") != F.col("hub_component")) & (100 * F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n"))).select("hub", "node")
-        pairs = pairs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["hub", "node"], "left_anti")
-        fresh = materialise(pairs, "pairs")
-        if fresh.isEmpty():
-            # no list holds two components in this round; else another hub or the last round goes on
-            if turn == HUB_ROUNDS or mixed.isEmpty():
-                break
-            continue
-        tried = fresh if tried is None else tried.union(fresh)
-        good = _agreeing(fresh, some, matches, threshold)
-        sized = good.groupBy("hub").agg(F.count("*").alias("of"))
-        new = materialise(confirmed(good.join(sized, "hub"), sets, threshold), "links")
-        found = new if found is None else found.union(new)
-        if turn < HUB_ROUNDS:
-            joined = components(found)
-            comp = materialise(nodes.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
-    return found if found is not None else docs.sparkSession.createDataFrame([], "u long, v long")
+    sets = materialise(texts.mapInArrow(lambda it: _with_sets(it, width), "node long, payload binary"), "sets")
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        return by_hub(_agreeing(pairs, some, matches, threshold), sets).mapInArrow(lambda it: _confirm(it, threshold), "u long, v long")
+
+    return hub_links(posts, confirm, lambda a, b: _sizes_fit(a, b, threshold))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 85, coordinates: int = 48, matches: int = 26) -> DataFrame:

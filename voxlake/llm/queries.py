@@ -10,6 +10,7 @@ from voxlake.llm.chat import format_conversations, read_conversations
 from voxlake.llm.common import scratch_path
 from voxlake.llm.decontaminate import contamination
 from voxlake.llm.html import main_text
+from voxlake.llm.image_copies import image_copies, rendered
 from voxlake.llm.line_dedup import dedup_lines
 from voxlake.llm.near_dup import near_duplicates
 from voxlake.llm.packing import pack_documents
@@ -45,6 +46,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), models, reject=False).select("doc_id", (hashed_id(4) == 2).alias("held_out"), "lang_pred", "score", "bits", "rejected")
 
 
+def op2_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return image_copies(rendered(table(spark, sf_dir, "embeddings")))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -84,6 +89,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_image_copies": op2_image_copies,
     "op3_chat_format": op3_chat_format,
     "op7_token_output": op7_token_output,
     "op9_html_text": op9_html_text,
