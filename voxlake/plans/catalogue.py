@@ -157,14 +157,14 @@ def key_join(spark, d):
 
 def speaker_dirs(spark, d):
     dirs = table(spark, d, "pages").select(F.concat(F.lit("/src/"), F.regexp_replace("url", "^[a-z]+://|[?#].*$", "")).alias("path"))
-    dirs = dirs.withColumn("path", F.regexp_replace("path", "/+$", "")).distinct().withColumn("depth", F.size(F.split("path", "/"))).withColumn("has_wav", F.crc32("path") % 3 != 0)
+    dirs = dirs.withColumn("path", F.regexp_replace("path", "/+$", "")).distinct().withColumn("depth", F.size(F.split("path", "/"))).withColumn("has_wav", F.length("path") % 3 != 0)
     wanted = spark.createDataFrame([(str(k),) for k in range(10, 100, 7)], "name string")
     return discover.speaker_dirs(dirs, wanted)
 
 
 def missing_names(spark, d):
     wanted = table(spark, d, "customer").select(F.col("c_custkey").alias("name"))
-    return discover.missing_speakers(wanted, table(spark, d, "orders").select(F.col("o_custkey").alias("name")))
+    return discover.missing_speakers(wanted, table(spark, d, "orders").filter("o_totalprice > 450000").select(F.col("o_custkey").alias("name")))
 
 
 def resume_antijoin(spark, d):
