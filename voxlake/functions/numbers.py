@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +26,6 @@ def digits_only(c: Column) -> Column:
 
 def exact_round(places: int):
     """Pandas UDF: half to even on the exact binary value."""
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("double")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -191,7 +192,6 @@ def has_digits(c: Column) -> Column:
 
 def character_name():
     """Pandas UDF: the Unicode name of the first character, `?` if it has none."""
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("string")
@@ -209,8 +209,6 @@ def common_edits(df, left: str, right: str, most: int = 6):
     def edits(batches):
         import difflib
 
-        import pandas as pd
-
         for pdf in batches:
             rows = []
             for a, b in zip(pdf["a"], pdf["b"], strict=True):

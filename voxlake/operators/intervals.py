@@ -134,13 +134,33 @@ def in_band(start: Column, end: Column, least: float = MIN_CLIP, most: float = M
 
 def pad_clips(spans: DataFrame, keys: list[str], total: Column, *, pad: float = PAD, least: float = MIN_CLIP, tie: list[str] | None = None) -> DataFrame:
     """Trimmed, ordered spans with clip_index (before drops), and a, b: the span padded up to its neighbours and the file's
-    end. Spans that come out shorter than `least` go. Input must not overlap (see trim_overlap)."""
+    end. Spans that come out shorter than `least` go. Input must not overlap (see trim_overlap) and must be in the length
+    band already, so that only the file's end can make a span too short; for other input there is pad_clips_fold."""
     w = W.partitionBy(*keys).orderBy("start", "end", *(tie or []))
     rows = spans.withColumn("clip_index", F.row_number().over(w) - 1).withColumn("b", F.least(total, F.coalesce(F.lead("start").over(w), total), F.col("end") + pad))
     rows = rows.withColumn("a", F.greatest(F.lit(0.0), F.coalesce(F.lag("b").over(w), F.lit(0.0)), F.col("start") - pad))
     return rows.filter(F.col("b") - F.col("a") >= least)
 
 
+def pad_clips_fold(spans: DataFrame, keys: list[str], total: str, *, id_col: str, pad: float = PAD, least: float = MIN_CLIP) -> DataFrame:
+    """The same for spans of any length: a span that is dropped takes nothing from the next one's room. Returns keys, id_col,
+    clip_index, a, b. `total` names a column that is the same for all rows of a key."""
+    rows = spans.groupBy(*keys).agg(F.max(total).cast("double").alias("total"), F.sort_array(F.collect_list(F.struct(F.col("start").cast("double").alias("s"), F.col("end").cast("double").alias("e"), F.col(id_col).alias("id")))).alias("rows"))
+    id_type = spans.schema[id_col].dataType.simpleString()
+    kind = f"struct<out:array<struct<i:int,id:{id_type},a:double,b:double>>,i:int,last:double>"
+    following = lambda i: F.coalesce(F.get(F.col("rows"), i + 1)["s"], F.col("total"))
+
+    def step(acc: Column, x: Column) -> Column:
+        a = F.greatest(F.lit(0.0), acc["last"], x["s"] - pad)
+        b = F.least(F.col("total"), following(acc["i"]), x["e"] + pad)
+        keep = b - a >= least
+        added = F.concat(acc["out"], F.array(F.struct(acc["i"].alias("i"), x["id"].alias("id"), a.alias("a"), b.alias("b"))))
+        return F.struct(F.when(keep, added).otherwise(acc["out"]).alias("out"), (acc["i"] + 1).alias("i"), F.when(keep, b).otherwise(acc["last"]).alias("last")).cast(kind)
+
+    zero = F.struct(F.array().cast(f"array<struct<i:int,id:{id_type},a:double,b:double>>").alias("out"), F.lit(0).alias("i"), F.lit(0.0).alias("last")).cast(kind)
+    return rows.select(*keys, F.explode(F.aggregate("rows", zero, step, lambda acc: acc["out"])).alias("c")).select(*keys, F.col("c.id").alias(id_col), F.col("c.i").alias("clip_index"), "c.a", "c.b")
+
+
 def overlap_violations(spans: DataFrame, keys: list[str], *, start: str = "start", end: str = "end", tie: list[str] | None = None, tolerance: float = 0.001) -> DataFrame:
     """Rows that begin before the previous one ends, by more than the tolerance."""
     w = W.partitionBy(*keys).orderBy(start, end, *(tie or []))
