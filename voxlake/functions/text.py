@@ -25,8 +25,6 @@ QUOTES = "‘’“”\""
 SPOKEN = "abcdefghijklmnopqrstuvwxyz .,?!'-:;"
 # -------------------------------------------------------------------------------------------
 
-#: First of the private-use characters that stand for something while a text is rewritten.
-PRIVATE = 0xE000
 SCRIPT = r"[඀-෿]"
 DIACRITICS = "(?iu)[āīūēōæǣñśşḍḥḷṁṅṇṉṛṝṭ]"
 DIGITS = r"[0-9෦-෯]"
@@ -50,18 +48,18 @@ def word_count(c: Column) -> Column:
     return F.size(words(c))
 
 
-def rewrite(c: Column, table: dict[str, str]) -> Column:
-    """One left-to-right pass that replaces the longest key at each place.
-
-    All keys go to private-use characters first, the longest ones before the others, and from there to their values, so
-    that no value is rewritten again. This equals the single pass for keys that can't overlap one another.
-    """
-    keys = sorted(table, key=len, reverse=True)
-    for i, k in enumerate(keys):
-        c = F.replace(c, F.lit(k), F.lit(chr(PRIVATE + i)))
-    for i, k in enumerate(keys):
-        c = F.replace(c, F.lit(chr(PRIVATE + i)), F.lit(table[k]))
-    return c
+def expand(c: Column, table: dict[str, str]) -> Column:
+    """Every single character of the table replaced by its text, in few passes: characters whose texts end alike get the
+    end appended together, then one translation gives all of them their first letters. The texts are ASCII, the
+    characters are not, so nothing is rewritten twice."""
+    ends: dict[str, str] = {}
+    for ch, text in table.items():
+        if len(text) > 1:
+            ends[text[1:]] = ends.get(text[1:], "") + ch
+    for end, chars in ends.items():
+        c = F.regexp_replace(c, f"[{chars}]", f"$0{end}")
+    keys = sorted(table, key=lambda ch: not table[ch])  # characters without a text come last: translate deletes those
+    return F.translate(c, "".join(keys), "".join(table[ch][:1] for ch in keys))
 
 
 def spoken(c: Column) -> Column:
@@ -71,25 +69,23 @@ def spoken(c: Column) -> Column:
 
 
 def fold_roman(c: Column) -> Column:
-    """Romanised text in plain letters."""
+    """Romanised text in plain letters, as one left-to-right pass over ROMAN with the longest key first would write it:
+    aspirates lose their h, plain dentals and c get one, then the letters with marks are spelled out."""
     c = F.translate(F.replace(F.lower(c), F.lit(JOINER), F.lit("")), QUOTES, "'" * len(QUOTES))
-    return spoken(rewrite(c, ROMAN))
+    unaspirated = "".join(k[0] for k, v in ROMAN.items() if len(k) == 2 and len(v) == 1)
+    aspirated = "".join(k for k, v in ROMAN.items() if len(k) == 1 and k.isascii() and v == k + "h")
+    c = F.regexp_replace(F.regexp_replace(c, f"([{unaspirated}])h", "$1"), f"[{aspirated}](?!h)", "$0h")
+    return spoken(expand(c, {k: v for k, v in ROMAN.items() if len(k) == 1 and not k.isascii()}))
 
 
 def fold_script(c: Column) -> Column:
-    """Script in the same plain letters: a consonant carries `a` unless a sign or the virama follows; stray signs go."""
+    """Script in the same plain letters: a consonant carries `a` unless a sign or the virama follows; signs that follow no
+    consonant go."""
     letters, signs = "".join(CONSONANTS), "".join(SIGNS)
-    inherent, silent, joint = (chr(PRIVATE + 0x400 + i) for i in range(3))
     c = F.replace(c, F.lit(JOINER), F.lit(""))
-    c = F.regexp_replace(c, f"([{letters}])(?![{VIRAMA}{signs}])", f"$1{inherent}")
-    c = F.regexp_replace(c, f"([{letters}]){VIRAMA}", f"$1{silent}")
-    c = F.regexp_replace(c, f"([{letters}])([{signs}])", f"$1{joint}$2")
-    for sign, text in SIGNS.items():
-        c = F.replace(c, F.lit(joint + sign), F.lit(text))
-    c = F.regexp_replace(c, f"[{VIRAMA}{signs}{silent}]", "")
-    for letter, text in {**CONSONANTS, **VOWELS, ANUSVARA: "ng", VISARGA: "h", inherent: "a"}.items():
-        c = F.replace(c, F.lit(letter), F.lit(text))
-    return spoken(c)
+    c = F.regexp_replace(c, f"(?<![{letters}])[{VIRAMA}{signs}]", "")
+    c = F.regexp_replace(c, f"[{letters}](?![{VIRAMA}{signs}])", "$0a")
+    return spoken(expand(c, {**CONSONANTS, **VOWELS, **SIGNS, ANUSVARA: "ng", VISARGA: "h", VIRAMA: ""}))
 
 
 def fold(c: Column) -> Column:

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from voxlake import reach_workers
 from voxlake.functions import numbers as N
 from voxlake.functions import text as T
 from voxlake.operators import discover, filters, gates, intervals, logs, metrics, panel, split, state
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

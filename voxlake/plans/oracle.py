@@ -10,6 +10,10 @@ def spans(stretch: float) -> str:
     return f"SELECT user_id, event_id, event_type, epoch_us(ts) / 1e6 AS s, epoch_us(ts) / 1e6 + value * {stretch} AS e FROM events"
 
 
+#: First of the private-use characters that stand for something while a text is rewritten.
+PRIVATE = 0xE000
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -40,15 +44,15 @@ def spoken(c: str) -> str:
 def fold_roman(c: str) -> str:
     c = f"translate(replace(lower({c}), {quoted(T.JOINER)}, ''), {quoted(T.QUOTES)}, repeat(chr(39), {len(T.QUOTES)}))"
     keys = sorted(T.ROMAN, key=len, reverse=True)
-    marks = [chr(T.PRIVATE + i) for i in range(len(keys))]
+    marks = [chr(PRIVATE + i) for i in range(len(keys))]
     return spoken(replaced(replaced(c, zip(keys, marks, strict=True)), zip(marks, (T.ROMAN[k] for k in keys), strict=True)))
 
 
 def fold_script(c: str) -> str:
     """Every consonant gets a mark that its sign or virama takes away again, and that is the vowel a where neither follows."""
-    mark = chr(T.PRIVATE)
+    mark = chr(PRIVATE)
     c = f"regexp_replace(replace({c}, {quoted(T.JOINER)}, ''), '([{''.join(T.CONSONANTS)}])', '\\1{mark}', 'g')"
-    gone = chr(T.PRIVATE + 1)
+    gone = chr(PRIVATE + 1)
     c = replaced(c, [(mark + T.VIRAMA, gone)] + [(mark + s, t) for s, t in T.SIGNS.items()])
     c = f"regexp_replace({c}, '[{T.VIRAMA}{''.join(T.SIGNS)}{gone}]', '', 'g')"
     return spoken(replaced(c, [(mark, "a"), *T.CONSONANTS.items(), *T.VOWELS.items(), (T.ANUSVARA, "ng"), (T.VISARGA, "h")]))
