@@ -3,9 +3,11 @@
 1. Images (PGM or 8-bit PNG bytes) are decoded; images with equal pixels are one class from here on.
 2. On a pyramid of scales the strongest corners (Harris response, local maxima) are taken. Around each, the direction of
    the intensity centroid turns a fixed pattern of 256 point pairs; which point of a pair is darker gives one bit.
-3. Hamming tables: a descriptor's 256 bits are cut into four keys of 64 bits, so descriptors that differ in up to three
-   bits always share a key, and those with a few per cent of changed bits nearly always do in one of an image's many corners.
-   Images are posted under their keys and joined hub by hub (see graph.hub_links), not in all pairs.
+3. Hamming tables: four overlapping keys of 160 of a descriptor's 256 bits, so descriptors that differ in one bit always
+   share a key, and of an image's many corners some share one though a few per cent of all bits have changed. (Shorter
+   keys collide between unrelated images: patches with one strong edge look alike after turning, and the number of such
+   pairs grows with the square of the table.) Images are posted under their keys and joined hub by hub (see
+   graph.hub_links), not in all pairs.
 4. Geometric consensus: of the mutual best matches between two images, those that agree on one turn, scale and shift are
    counted; `consensus` of them make a link. Linked classes form components: an image and its crops and edits.
 
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from voxlake.llm.common import bounded_batches, materialise
 from voxlake.llm.graph import by_hub, components, hub_links
+from voxlake.llm.shingles import mix
 
 RADIUS, PAIRS, TURNS = 8, 256, 32
 #: Bytes of one corner in a payload: 32 of bits, then x, y, scale and turn as float32.
@@ -203,17 +206,27 @@ def described(images: DataFrame, *, id_col: str, image_col: str, most: int, scal
     return images.select(F.col(id_col).cast("long").alias("id"), image_col).mapInArrow(work, "id long, content string, corners binary")
 
 
+#: Words of 32 bits in a key, and where the tables' keys begin (cyclically).
+KEY_WORDS, TABLES = 5, (0, 2, 4, 6)
+
+
+def table_keys(rows: np.ndarray) -> np.ndarray:
+    """Distinct keys of all corners in all tables, hashed to 64 bits together with the table's number."""
+    words = np.ascontiguousarray(rows[:, :32]).view(np.uint32).astype(np.uint64)
+    out = []
+    for t in TABLES:
+        h = np.full(len(rows), t + 1, np.uint64)
+        for k in range(KEY_WORDS):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[:, (t + k) % 8])
+        out.append(h)
+    return np.unique(np.concatenate(out))
+
+
 def _tokens(batches):
     for batch in batches:
-        node, token = [], []
-        for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            rows = np.frombuffer(raw, np.uint8).reshape(-1, CORNER)
-            keys = np.ascontiguousarray(rows[:, :32]).view(np.uint64)
-            # the table's number goes into the key; keys of all zeros or ones say nothing about a place but stay
-            keys = np.unique((keys * np.uint64(0x9E3779B97F4A7C15)) ^ np.arange(4, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
-            token.append(keys.view(np.int64))
-            node.append(np.full(len(keys), n, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (node, token)], names=["node", "token"])
+        token = [table_keys(np.frombuffer(raw, np.uint8).reshape(-1, CORNER)) for raw in batch.column(1).to_pylist()]
+        node = np.repeat(batch.column(0).to_numpy(), [len(t) for t in token])
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.concatenate(token).view(np.int64) if token else [], pa.int64())], names=["node", "token"])
 
 
 def _consenting(batches, least: int):
