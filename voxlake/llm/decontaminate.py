@@ -142,8 +142,8 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 10, id_col
     named = found.groupBy("id", "key").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
     hit = union.join(named, union.id.eqNullSafe(named.id) & (union.key == named.key)).select(union.id.alias("hit_id"), union.key.alias("hit_key"), "n_hit", "items")
     hit = small_side(materialise(hit, "hits"))
-    base = docs.withColumn("n_words", F.size(words_of(F.col(text_col))).cast("long")).withColumn("hit_row", row_key(id_col, text_col))
     keep = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "n_items", "contaminated")]
+    base = docs.select(*keep, F.size(words_of(F.col(text_col))).cast("long").alias("n_words"), row_key(id_col, text_col).alias("hit_row"))
     return base.join(hit, base[id_col].eqNullSafe(F.col("hit_id")) & (F.col("hit_row") == F.col("hit_key")), "left").select(
         *[base[c] for c in keep], base["n_words"], F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -161,8 +161,9 @@ def proximity_matches(docs: DataFrame, items: DataFrame, *, terms: int = 3, span
         rows.select("item", "part", "word").distinct().join(counts, F.col("word") == F.col("term"))
         .withColumn("rn", F.row_number().over(rank)).filter(F.col("rn") <= terms).select("item", "part", "term")
     )
-    full = rare.groupBy("item", "part").agg(F.count("*").alias("m")).filter(F.col("m") == terms)
-    wanted = materialise(rare.join(full, ["part"]).select(rare["item"], "part", "term").distinct(), "rare_terms")
+    # an item's terms together with their number: a window, for a join would need null-safe keys
+    rare = rare.withColumn("m", F.count("*").over(W.partitionBy("item", "part"))).filter(F.col("m") == terms)
+    wanted = materialise(rare.select("item", "part", "term"), "rare_terms")
     posted = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.posexplode(words_of(F.col(text_col))).alias("q", "word"))
     hits = posted.join(small_side(wanted), F.col("word") == F.col("term"))
     ahead = W.partitionBy("id", "key", "item", "part").orderBy("q").rangeBetween(0, span - 1)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import bounded_batches, spans, text_buffer
-from voxlake.llm.shingles import SPACE, word_hashes
+from voxlake.llm.shingles import SPACE, word_bounds, word_hashes
 
 FEATURES = [
     "log_bytes", "letters", "upper", "digits", "spaces", "high_bytes", "lines_per_word", "word_bytes", "word_bytes_sd", "stops", "commas", "shouts",
@@ -52,22 +52,18 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     some = np.maximum(n, 1)
     letters = count["upper"] + count["lower"] + count["high"] - count["tail"]
     per_word = {k: count[k] / some for k in ("stops", "commas", "shouts", "bars", "symbols", "quotes", "brackets", "other")}
-    ends = np.flatnonzero(~SPACE[data] & np.append(SPACE[data[1:]], True)) if len(data) else np.zeros(0, int)
-    distinct, repeats, top, lines = (np.zeros(len(n)) for _ in range(4))
-    spread = np.zeros(len(n))
-    starts = np.flatnonzero(~SPACE[data] & np.append(True, SPACE[data[:-1]])) if len(data) else np.zeros(0, int)
+    starts, ends, _ = word_bounds(data, offsets)
+    lengths = (ends - starts).astype(float)
+    distinct, repeats, top, lines, spread = (np.zeros(len(n)) for _ in range(5))
     for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
         if b > a:
             own = words[a:b]
             _, times = np.unique(own, return_counts=True)
             distinct[i], top[i] = len(times) / (b - a) ** 0.75, times.max() / (b - a)
             repeats[i] = (own[1:] == own[:-1]).sum() / (b - a)
+            spread[i] = lengths[a:b].std()
         own = data[offsets[i] : offsets[i + 1]].tobytes().split(b"\n")
         lines[i] = len(set(own)) / len(own)
-        inside = slice(*np.searchsorted(starts, offsets[i : i + 2]))
-        upto = slice(*np.searchsorted(ends, offsets[i : i + 2]))
-        if inside.stop - inside.start > 1 and inside.stop - inside.start == upto.stop - upto.start:
-            spread[i] = (ends[upto] - starts[inside] + 1).std()
     columns = {
         "log_bytes": np.log1p(size), "letters": letters / chars, "upper": count["upper"] / np.maximum(letters, 1), "digits": count["digits"] / chars, "spaces": count["space"] / chars,
         "high_bytes": count["high"] / np.maximum(size, 1), "lines_per_word": count["newline"] / some, "word_bytes": (size - count["space"]) / some, "word_bytes_sd": spread,

@@ -33,28 +33,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, index of each text's first word and the end)."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start of every word, its end, index of each text's first word and the end). Words end with their text."""
     n = len(data)
     word = ~SPACE[data]
-    before = np.empty(n, bool)
+    begins, stops = word.copy(), word.copy()
     if n:
-        before[0] = False
-        before[1:] = word[:-1]
-        before[offsets[:-1][offsets[:-1] < n]] = False
-    starts = np.flatnonzero(word & ~before)
-    after = np.empty(n, bool)
-    if n:
-        after[-1] = False
-        after[:-1] = word[1:]
-        inner = offsets[1:][offsets[1:] > 0] - 1
-        after[inner] = False
-    ends = np.flatnonzero(word & ~after) + 1
-    up, down = _power(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[data] * up[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+        begins[1:] &= ~word[:-1]
+        stops[:-1] &= ~word[1:]
+        first = offsets[:-1][offsets[:-1] < n]
+        begins[first] = word[first]
+        last = offsets[1:][offsets[1:] > 0] - 1
+        stops[last] = word[last]
+    starts = np.flatnonzero(begins)
+    return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, index of each text's first word and the end)."""
+    starts, ends, first = word_bounds(data, offsets)
+    up, down = _power(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), first
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.ndarray]:

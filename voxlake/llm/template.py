@@ -285,7 +285,7 @@ def fold_expression(e, filters: Mapping[str, Callable]):
         if e.name not in filters:
             raise TemplateError(f"no filter {e.name!r}")
         arg = fold_expression(e.arg, filters)
-        return Const(filters[e.name](arg.value)) if isinstance(arg, Const) else Filter(e.name, arg)
+        return _folded(lambda: filters[e.name](arg.value), Filter(e.name, arg)) if isinstance(arg, Const) else Filter(e.name, arg)
     if isinstance(e, Op):
         args = [fold_expression(a, filters) for a in e.args]
         if e.op == "if" and isinstance(args[0], Const):
@@ -294,11 +294,19 @@ def fold_expression(e, filters: Mapping[str, Callable]):
             return args[1] if bool(args[0].value) == (e.op == "and") else args[0]
         if all(isinstance(a, Const) for a in args) and e.op in (*_BINARY, "not"):
             values = [a.value for a in args]
-            return Const(not values[0] if e.op == "not" else _BINARY[e.op](*values))
+            return _folded(lambda: not values[0] if e.op == "not" else _BINARY[e.op](*values), Op(e.op, args))
         return Op(e.op, args)
     return e
 
 
+def _folded(value: Callable[[], Any], rest):
+    """The constant, or the expression as it is: what fails does so only where it is reached."""
+    try:
+        return Const(value())
+    except (TypeError, ValueError):
+        return rest
+
+
 def fold(nodes: list, filters: Mapping[str, Callable]) -> list:
     """Constant expressions become text, decided branches go, neighbouring texts become one."""
     out: list = []
@@ -426,7 +434,10 @@ class Template:
 
     def render(self, context: Mapping[str, Any]) -> Iterator[Piece]:
         """(text, generated) pieces; empty ones are left out."""
-        return (p for p in self._run(dict(context)) if p[0])
+        try:
+            yield from (p for p in self._run(dict(context)) if p[0])
+        except (TypeError, AttributeError) as e:
+            raise TemplateError(str(e)) from e
 
 
 def compile_template(source: str, filters: Mapping[str, Callable] | None = None) -> Template:
