@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import materialise
+from voxlake.llm.common import materialise_at, scratch_mark, scratch_path, sweep
 from voxlake.llm.decontaminate import contamination
 from voxlake.llm.line_dedup import dedup_lines
 from voxlake.llm.near_dup import drop_near_duplicates
@@ -57,7 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The packed documents. A stage's scratch tables and its input go as soon as its output is written."""
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage_{name}")
+        out = stage(spark, docs, sf_dir)
+        path = scratch_path(spark, f"stage_{name}")
+        docs = materialise_at(out, path)
+        sweep(spark, mark, keep=path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from voxlake import reach_workers
 
 _own: list[str] = []
+#: Folders of scratch tables that were written by this process and still stand.
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,13 +30,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/voxlake-{uuid.uuid4().hex}/{name}"
+    _written.append(f"{shared_dir(spark)}/voxlake-{uuid.uuid4().hex}")
+    return f"{_written[-1]}/{name}"
+
+
+def scratch_mark() -> int:
+    return len(_written)
+
+
+def sweep(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
+    """Delete the scratch tables written since a mark, all by default, but for the one at `keep`. Results that were not
+    written yet and read these tables can no longer be computed."""
+    gone = [f for f in _written[since:] if keep is None or not keep.startswith(f)]
+    _written[since:] = [f for f in _written[since:] if f not in gone]
+    for f in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df to a table in the shared folder and read it back: lineage ends there, and a lost executor costs only
     what it was computing."""
-    path = scratch_path(df.sparkSession, name)
+    return materialise_at(df, scratch_path(df.sparkSession, name), **options)
+
+
+def materialise_at(df: DataFrame, path: str, **options: str) -> DataFrame:
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
