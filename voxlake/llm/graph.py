@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import materialise
+from voxlake.llm.common import materialise, small_side
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -95,12 +95,24 @@ def within_lists(members: DataFrame) -> DataFrame:
 BLOCK = 256
 
 
-def by_hub(pairs: DataFrame, payload: DataFrame) -> DataFrame:
-    """Rows (hub, block, own, node, payload) for pairs (hub, node), dealt and sorted so that a streaming function meets
-    a hub's own row (own = 0) before each block of its partners; payload: (node, payload), one row for each node."""
-    sized = pairs.groupBy("hub").agg(F.count("*").alias("of"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("of") / BLOCK)).cast("long")
-    dealt = pairs.join(sized, "hub").withColumn("block", F.pmod(F.xxhash64("node"), blocks)).select("hub", "block", "node")
+def in_blocks(pairs: DataFrame) -> DataFrame:
+    """pairs (hub, node) with block: the partners of a hub that has many are dealt to blocks of about BLOCK, so that no
+    join by hub brings them together."""
+    many = materialise(pairs.groupBy("hub").agg(F.count("*").alias("of")).filter(F.col("of") > BLOCK).select(F.col("hub").alias("many"), "of"), "many")
+    # at most one row for each BLOCK pairs
+    sized = pairs.join(small_side(many), F.col("hub") == F.col("many"), "left")
+    blocks = F.ceil(F.coalesce("of", F.lit(1)) / BLOCK).cast("long")
+    return sized.select("hub", F.pmod(F.xxhash64("node"), blocks).alias("block"), "node")
+
+
+def hub_rows(dealt: DataFrame, rows: DataFrame) -> DataFrame:
+    """(hub, block, columns of rows): each hub's row (of rows by node) once for each of its blocks."""
+    return dealt.select("hub", "block").distinct().join(rows.withColumnRenamed("node", "hub"), "hub")
+
+
+def by_hub(dealt: DataFrame, payload: DataFrame) -> DataFrame:
+    """Rows (hub, block, own, node, payload) for pairs (hub, block, node), dealt and sorted so that a streaming function
+    meets a hub's own row (own = 0) before each block of its partners; payload: (node, payload), one row for each node."""
     ones = dealt.join(payload, "node").select("hub", "block", F.lit(1).alias("own"), "node", "payload")
-    hubs = dealt.select("hub", "block").distinct().join(payload, F.col("hub") == F.col("node")).select("hub", "block", F.lit(0).alias("own"), F.col("hub").alias("node"), "payload")
+    hubs = hub_rows(dealt, payload).select("hub", "block", F.lit(0).alias("own"), F.col("hub").alias("node"), "payload")
     return ones.union(hubs).repartition("hub", "block").sortWithinPartitions("hub", "block", "own")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import bounded_batches, materialise
-from voxlake.llm.graph import by_hub, components, hub_links
+from voxlake.llm.graph import by_hub, components, hub_links, in_blocks
 from voxlake.llm.shingles import mix
 
 RADIUS, PAIRS, TURNS = 8, 256, 32
@@ -255,7 +255,7 @@ def image_copies(images: DataFrame, *, id_col: str = "image_id", image_col: str
     posts = reps.mapInArrow(_tokens, "node long, token long")
     met = posts.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
     posts = materialise(posts.join(met, "token"), "postings")
-    linked = hub_links(posts, lambda pairs: by_hub(pairs, reps).mapInArrow(lambda it: _consenting(it, least), "u long, v long"))
+    linked = hub_links(posts, lambda pairs: by_hub(in_blocks(pairs), reps).mapInArrow(lambda it: _consenting(it, least), "u long, v long"))
     whole = components(linked).withColumnRenamed("node", "member")
     named = classes.join(whole, F.col("node") == F.col("member"), "left").select("content", "node", F.coalesce("component", "node").alias("component"))
     blank = lambda c: F.when(F.col(c) != -(2**63), F.col(c))

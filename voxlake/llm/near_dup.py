@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import bounded_batches, materialise, small_side, spans, text_buffer
-from voxlake.llm.graph import by_hub, components, hub_links
+from voxlake.llm.graph import by_hub, components, hub_links, hub_rows, in_blocks
 from voxlake.llm.shingles import mix, shingle_sets, signatures
 
 LOWEST = -(2**63)
@@ -170,12 +170,12 @@ def _confirm(batches, threshold: int):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _agreeing(pairs: DataFrame, reps: DataFrame, matches: int, threshold: int) -> DataFrame:
-    """Pairs whose sizes allow the threshold and that agree in at least `matches` coordinates."""
-    one, two = (reps.select(F.col("node").alias(f"{x}_node"), F.col("sig").alias(f"{x}_sig"), F.col("n").alias(f"{x}_n")) for x in "ab")
-    both = pairs.join(one, F.col("hub") == F.col("a_node")).join(two, F.col("node") == F.col("b_node"))
-    agree = F.aggregate(F.zip_with("a_sig", "b_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return both.filter(_sizes_fit(F.col("a_n"), F.col("b_n"), threshold)).filter(agree >= matches).select("hub", "node")
+def _agreeing(dealt: DataFrame, reps: DataFrame, matches: int, threshold: int) -> DataFrame:
+    """Pairs (hub, block, node) whose sizes allow the threshold and that agree in at least `matches` coordinates."""
+    hubs = hub_rows(dealt, reps.select("node", F.col("sig").alias("hub_sig"), F.col("n").alias("hub_n")))
+    both = dealt.join(reps.select("node", "sig", "n"), "node").join(hubs, ["hub", "block"])
+    agree = F.aggregate(F.zip_with("sig", "hub_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return both.filter(_sizes_fit(F.col("n"), F.col("hub_n"), threshold)).filter(agree >= matches).select("hub", "block", "node")
 
 
 def _sizes_fit(a, b, threshold: int):
@@ -196,7 +196,8 @@ def links(docs: DataFrame, reps: DataFrame, *, id_col: str, text_col: str, width
     posts = materialise(prefixes(some, matches).join(some.select("node", "r"), "node"), "prefixes")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        return by_hub(_agreeing(pairs, some, matches, threshold), sets).mapInArrow(lambda it: _confirm(it, threshold), "u long, v long")
+        good = materialise(_agreeing(in_blocks(pairs), some, matches, threshold), "agreeing")
+        return by_hub(good, sets).mapInArrow(lambda it: _confirm(it, threshold), "u long, v long")
 
     return hub_links(posts, confirm, central=F.col("r"), last=lambda members: remaining_pairs(members, rare, threshold))
 
