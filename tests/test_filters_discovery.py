@@ -54,11 +54,11 @@ def test_layout_is_read_from_the_content(spark):
 
 
 def test_shallowest_directory_wins(spark):
-    dirs = spark.createDataFrame([("/d/x/Dinithi_2", 3, True), ("/d/dinithi", 2, True), ("/d/dinithi_b", 2, False), ("/harini/a", 2, True)], "path string, depth int, has_wav boolean")
-    wanted = spark.createDataFrame([("Dinithi",), ("harini",)], "name string")
+    dirs = spark.createDataFrame([("/d/x/Amara_2", 3, True), ("/d/amara", 2, True), ("/d/amara_b", 2, False), ("/nila/a", 2, True)], "path string, depth int, has_wav boolean")
+    wanted = spark.createDataFrame([("Amara",), ("nila",)], "name string")
     found = D.speaker_dirs(dirs, wanted)
-    assert [tuple(r) for r in found.collect()] == [("Dinithi", "/d/dinithi")]
-    assert [r.name for r in D.missing_speakers(wanted, found).collect()] == ["harini"]
+    assert [tuple(r) for r in found.collect()] == [("Amara", "/d/amara")]
+    assert [r.name for r in D.missing_speakers(wanted, found).collect()] == ["nila"]
 
 
 def test_split_sizes_and_repeatability(spark):

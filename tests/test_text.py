@@ -87,9 +87,9 @@ def test_error_rates(spark):
 
 
 def test_stems(spark):
-    paths = ["/a/Muwan Palassa 140113.mp3", "x.tar.gz", ".hidden", "/a.b/é -- 1!.wav"]
-    assert one(spark, paths, T.path_stem) == ["Muwan Palassa 140113", "x.tar", ".hidden", "é -- 1!"]
-    assert one(spark, paths, T.episode_stem) == ["Muwan_Palassa_140113", "x_tar", "hidden", "é_1"]
+    paths = ["/a/Some Serial 140113.mp3", "x.tar.gz", ".hidden", "/a.b/é -- 1!.wav"]
+    assert one(spark, paths, T.path_stem) == ["Some Serial 140113", "x.tar", ".hidden", "é -- 1!"]
+    assert one(spark, paths, T.episode_stem) == ["Some_Serial_140113", "x_tar", "hidden", "é_1"]
     assert one(spark, ["a__b__0001"], T.episode_of_clip) == ["a__b"]
 
 
