@@ -206,3 +206,19 @@ def test_scratch_goes_to_the_shared_folder(spark):
     path = common.scratch_path(spark, "t")
     assert path.startswith(common.shared_dir(spark)) and common.materialise(spark.range(3), "t").count() == 3
     assert F.lit(1) is not None
+
+
+def test_any_extra_column_passes_through(spark):
+    """Names that the operators use inside, as columns of the table."""
+    from voxlake.llm import langid, quality
+
+    extra = "id key h g at w n y cut cut_row hit_id hit_row gone_id label_id entropy low node component token words sid first last"
+    rows = [(i, t) for i, t in enumerate(["a b c d e f\nx\ny", "a b c d e f\nx\ny", "q\nr\ns", None])]
+    df = spark.createDataFrame([(i, t, *(f"{c}{i}" for c in extra.split())) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in extra.split()))
+    items = spark.createDataFrame([(1, "q r")], "item_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (2, 0)], "doc_id long, quality int")
+    model = quality.train(df, labels)
+    models = langid.train(df.withColumn("lang", F.lit("xx")))
+    for out in (line_dedup.dedup_lines(df), decontaminate.contamination(df, items), near_dup.drop_near_duplicates(df), quality.quality_scores(df, model), langid.identify(df, models)):
+        for r in out.collect():
+            assert all(r[c] == f"{c}{r.doc_id}" for c in extra.split())

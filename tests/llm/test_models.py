@@ -299,6 +299,14 @@ def test_page_text(spark):
     assert html.main_text(df).count() == len(pages) and html.main_text(df.limit(0)).count() == 0
 
 
+def test_broken_pages():
+    deep = "<div>" * 20_000 + "<p>in" + "</div>" * 20_000 + "<p>out"
+    assert html.extract(deep) == "in out"
+    assert html.extract('<p>a<a href="x>b</a> c <b>d') == "ab c d"
+    assert html.extract("<p " * 3000 + '"' * 5001).startswith("<p <p") and html.extract("<!-- open <p>x") == "" and html.extract("a < b > c") == "a < b > c"
+    assert html.induce([deep, deep + "x", deep + "y"]) is not None
+
+
 def plain_matching(a, b):
     if a.tag != b.tag or a.mark != b.mark:
         return 0

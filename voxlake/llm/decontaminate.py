@@ -140,14 +140,16 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 10, id_col
         .groupBy("id", "key").agg(F.sum(F.greatest(F.lit(0), F.col("last") - F.greatest(F.col("upto") + 1, F.col("first")) + 1)).alias("n_hit"))
     )
     named = found.groupBy("id", "key").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
-    hit = union.join(named, union.id.eqNullSafe(named.id) & (union.key == named.key)).select(union.id.alias("hit_id"), union.key.alias("hit_key"), "n_hit", "items")
+    hit = union.join(named, union.id.eqNullSafe(named.id) & (union.key == named.key)).select(
+        union.id.alias("__hit_id"), union.key.alias("__hit_key"), F.col("n_hit").alias("__n_hit"), F.col("items").alias("__items"))
     hit = small_side(materialise(hit, "hits"))
     keep = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "n_items", "contaminated")]
-    base = docs.select(*keep, F.size(words_of(F.col(text_col))).cast("long").alias("n_words"), row_key(id_col, text_col).alias("hit_row"))
-    return base.join(hit, base[id_col].eqNullSafe(F.col("hit_id")) & (F.col("hit_row") == F.col("hit_key")), "left").select(
-        *[base[c] for c in keep], base["n_words"], F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.col("n_hit").isNotNull().alias("contaminated"),
+    base = docs.select(*keep, F.size(words_of(F.col(text_col))).cast("long").alias("__n_words"), row_key(id_col, text_col).alias("__hit_row"))
+    joined = base.join(hit, F.col(id_col).eqNullSafe(F.col("__hit_id")) & (F.col("__hit_row") == F.col("__hit_key")), "left")
+    return joined.select(
+        *keep, F.col("__n_words").alias("n_words"), F.coalesce("__n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("__items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce(F.size("__items"), F.lit(0)).cast("long").alias("n_items"), F.col("__n_hit").isNotNull().alias("contaminated"),
     )
 
 

@@ -35,6 +35,8 @@ from voxlake.llm.common import bounded_batches, materialise
 SAMPLE, FEWEST = 8, 3
 #: A host's wrapper keeps at most so many constant nodes; a node of a longer list is then judged by its tag alone.
 WRAPPER_NODES = 2_000
+#: Elements nested deeper than this are read as part of the element around them.
+DEPTH = 200
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -52,7 +54,7 @@ MARKS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^<>]*+)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _PARTS = re.compile(r"[^a-z0-9]+")
@@ -90,18 +92,22 @@ def attributes(raw: str) -> tuple[str, bool]:
 def parse(source: str) -> Node:
     """The page's tree; the root has no tag."""
     root = Node("")
-    stack, at, raw = [root], 0, ""
+    stack, at, skipped = [root], 0, {}
     for m in _TAG.finditer(source):
         if m.start() < at:
             continue
         if m.start() > at:
             stack[-1].children.append(source[at : m.start()])
         at = m.end()
-        tag = m[2]
+        # the second form: a tag with an open quote ends at the next >
+        closing, tag, raw = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
             continue
         tag = tag.lower()
-        if m[1]:
+        if closing:
+            if skipped.get(tag):
+                skipped[tag] -= 1
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
@@ -117,10 +123,13 @@ def parse(source: str) -> Node:
                     break
                 if stack[k].tag not in INLINE:
                     break
-        mark, boiler = attributes(m[3]) if m[3] else ("", False)
+        mark, boiler = attributes(raw) if raw else ("", False)
         node = Node(tag, mark, boiler)
+        if len(stack) > DEPTH and tag not in VOID and tag not in RAW:
+            skipped[tag] = skipped.get(tag, 0) + 1
+            continue
         stack[-1].children.append(node)
-        if tag in VOID or m[3].endswith("/"):
+        if tag in VOID or raw.endswith("/"):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)

@@ -223,7 +223,7 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id
 
 def calibrate(models: Models, rows: pa.Table, reject_share: float) -> None:
     own = [models.langs.index(x) if x in models.langs else -1 for x in rows["lang"].to_pylist()]
-    entropy = np.array([[np.nan] * len(models.langs) if x is None else x for x in rows["entropy"].to_pylist()], float).reshape(-1, len(models.langs))
+    entropy = np.array([[np.nan] * len(models.langs) if x is None else x for x in rows["__entropy"].to_pylist()], float).reshape(-1, len(models.langs))
     fine = [i for i, k in enumerate(own) if k >= 0 and not np.isnan(entropy[i]).any()]
     if not fine:
         return
@@ -234,17 +234,17 @@ def calibrate(models: Models, rows: pa.Table, reject_share: float) -> None:
 
 
 def entropies(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
-    """docs with the column entropy: one value for each of models.langs, null where the text has no letter."""
+    """docs with the column __entropy: one value for each of models.langs, null where the text has no letter."""
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(models)
-    keep = [c for c in docs.columns if c != "entropy"]
-    at, schema = keep.index(text_col), docs.select(*keep).schema.add("entropy", ArrayType(DoubleType()))
+    keep = [c for c in docs.columns if c != "__entropy"]
+    at, schema = keep.index(text_col), docs.select(*keep).schema.add("__entropy", ArrayType(DoubleType()))
 
     def scored(batches):
         scorer = Scorer(sent.value)
         for batch in batches:
             rows = [None if np.isnan(x).any() else x for x in scorer(batch.column(at).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "entropy"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "__entropy"])
 
     return docs.select(*keep).mapInArrow(scored, schema)
 
@@ -258,13 +258,13 @@ def identify(docs: DataFrame, models: Models | None, *, text_col: str = "text",
     keep = [c for c in docs.columns if c not in added]
     if models is None:
         return docs.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits"), F.lit(True).alias("rejected"))
-    e = F.col("entropy")
+    e = F.col("__entropy")
     best = F.array_min(e)
-    weights = F.aggregate(e, F.lit(0.0), lambda s, x: s + F.exp((F.element_at("low", 1) - x) * models.temperature))
-    out = entropies(docs.select(*keep), models, text_col).withColumn("low", F.array(best))
+    weights = F.aggregate(e, F.lit(0.0), lambda s, x: s + F.exp((F.element_at("__low", 1) - x) * models.temperature))
+    out = entropies(docs.select(*keep), models, text_col).withColumn("__low", F.array(best))
     rejected = e.isNull() | (best > models.threshold)
     langs = F.array(*[F.lit(x) for x in models.langs])
-    name = F.element_at(langs, F.array_position(e, F.element_at("low", 1)).cast("int"))
+    name = F.element_at(langs, F.array_position(e, F.element_at("__low", 1)).cast("int"))
     return out.select(
         *keep, F.when(rejected if reject else e.isNull(), UNDETERMINED).otherwise(name).alias("lang_pred"),
         F.when(e.isNull(), 0.0).otherwise(1 / weights).alias("score"), (best / np.log(2)).alias("bits"), rejected.alias("rejected"),

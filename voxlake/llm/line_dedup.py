@@ -47,18 +47,18 @@ def dedup_lines(docs: DataFrame, *, window: int = 3, id_col: str = "doc_id", tex
     later = later_windows(docs, window, id_col, text_col)
     covered = (
         later.groupBy("sid", "key").agg(F.collect_set("at").alias("at"))
-        .select(F.col("sid").alias("cut_sid"), F.col("key").alias("cut_key"), F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + (window - 1))))).alias("cut"))
+        .select(F.col("sid").alias("__cut_sid"), F.col("key").alias("__cut_key"), F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + (window - 1))))).alias("__cut"))
     )
     covered = materialise(covered, "covered")
     # the texts are only shuffled where the list of documents to cut is long
-    covered = small_side(covered, covered.agg(F.sum(1 + F.size("cut") / 20)).first()[0] or 0)
+    covered = small_side(covered, covered.agg(F.sum(1 + F.size("__cut") / 20)).first()[0] or 0)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    base = docs.select(*keep).withColumn("cut_row", row_key(id_col, text_col))
-    joined = base.join(covered, (F.coalesce(base[id_col], F.lit(LOWEST)) == F.col("cut_sid")) & (F.col("cut_row") == F.col("cut_key")), "left")
+    base = docs.select(*keep).withColumn("__cut_row", row_key(id_col, text_col))
+    joined = base.join(covered, (F.coalesce(base[id_col], F.lit(LOWEST)) == F.col("__cut_sid")) & (F.col("__cut_row") == F.col("__cut_key")), "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    left = F.concat_ws("\n", F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "cut"), lambda i: F.get(lines, i)))
+    left = F.concat_ws("\n", F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__cut"), lambda i: F.get(lines, i)))
     return joined.select(
-        *[(F.when(F.col("cut").isNull(), F.col(text_col)).otherwise(left).alias(c) if c == text_col else F.col(c)) for c in keep],
+        *[(F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(left).alias(c) if c == text_col else F.col(c)) for c in keep],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("cut").isNull(), F.lit(0)).otherwise(F.size("cut")).cast("long").alias("n_removed"),
+        F.when(F.col("__cut").isNull(), F.lit(0)).otherwise(F.size("__cut")).cast("long").alias("n_removed"),
     )

@@ -226,6 +226,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """docs without the rows that are not the first of their group."""
-    gone = near_duplicates(docs, id_col=id_col, **options).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = near_duplicates(docs, id_col=id_col, **options).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone_id")).distinct()
     gone = small_side(materialise(gone, "gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")

@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None,
     share = min(1.0, max_fit / total)
     part = known.filter(F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1_000_000)) < round(share * 1_000_000)).select(F.col(id_col).alias("label_id"), "y")
     # the sample is bounded by max_fit, so its ids may be broadcast
-    rows = docs.join(F.broadcast(part), F.col(id_col) == F.col("label_id")).select("y", F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(part), F.col("id") == F.col("label_id")).select("y", "text")
     got = rows.mapInArrow(_feature_rows, "y double, x array<double>").toArrow()
     x = np.array(got["x"].to_pylist(), float).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy().astype(float)
