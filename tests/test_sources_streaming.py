@@ -138,3 +138,14 @@ def test_guard_over_a_growing_log(spark, tmp_path):
     step(2, "3.9")
     drain()
     assert seen == [("run1", 2, False), ("run1", 4, True), ("run1", 5, False)]
+
+
+def test_panel_page_and_its_answers(spark):
+    items = spark.createDataFrame([("MOS", 1, "c1"), ("SUS", 2, "c1")], "part string, item int, clip_id string")
+    audio = spark.createDataFrame([("c1", bytearray(b"xyz"))], "clip_id string, content binary")
+    rows = K.panel_items(items, audio).orderBy("item").collect()
+    assert 'name="naturalness-MOS-1"' in rows[0].html and 'name="transcript-SUS-2"' in rows[1].html and "base64,eHl6" in rows[0].html
+    page = K.panel_page([r.html for r in rows])
+    assert page.count("<section>") == 2 and "answers.csv" in page and "\n" not in page
+    said = spark.createDataFrame([("r", "g", "intelligibility", "MOS", "1", "4"), ("r", "g", "naturalness", "MOS", "1", "5"), ("r", "g", "transcript", "SUS", "2", "a b")], "rater string, `group` string, field string, part string, item string, value string")
+    assert [tuple(r)[2:] for r in K.wide_answers(said).orderBy("item").collect()] == [("MOS", "1", "4", "5", None), ("SUS", "2", None, None, "a b")]

@@ -175,3 +175,22 @@ def dtw_distances(pairs: DataFrame, key: str, left: str, right: str, width: int)
 def calibration(signals: DataFrame, rate: int) -> DataFrame:
     """(pair, mcd_db) for named pairs of signals (columns pair, ref, syn): landmarks that scores are read against."""
     return clip_metrics(signals.withColumnRenamed("pair", "clip_id"), rate).select(F.col("clip_id").alias("pair"), "mcd_db")
+
+
+def first_rates(clips: DataFrame, seq: str, rate: str = "sample_rate", first: int = 200) -> DataFrame:
+    """(rate, n): sample rates of the first rows only."""
+    return clips.orderBy(seq).limit(first).groupBy(rate).agg(F.count("*").alias("n"))
+
+
+def speaker_overview(scores: DataFrame, hours: DataFrame, sources: DataFrame, speaker: str = "speaker") -> DataFrame:
+    """Each scored speaker with hours of audio and text source, null where unknown."""
+    return scores.join(hours, speaker, "left").join(sources, speaker, "left")
+
+
+def slim_tensors(tensors: DataFrame, kept: str, prefix: str, half: str = "float32") -> DataFrame:
+    """A checkpoint's tensor list (name, dtype, n) without what `kept` (a pattern) does not match: the name without its
+    prefix, the stored type when floats are halved, bytes before and after. The tensors themselves are not touched."""
+    width = F.when(F.col("dtype") == "float64", 8).when(F.col("dtype").isin("float32", "int32"), 4).when(F.col("dtype").isin("float16", "bfloat16", "int16"), 2).when(F.col("dtype") == "int64", 8).otherwise(1)
+    keep = F.col("name").rlike(kept)
+    after = F.when(~keep, 0).when(F.col("dtype") == half, 2).otherwise(width)
+    return tensors.select(F.when(keep, F.regexp_replace("name", f"^{prefix}", "")).alias("name"), "dtype", keep.alias("kept"), (F.col("n") * width).alias("bytes_before"), (F.col("n") * after).alias("bytes_after"))

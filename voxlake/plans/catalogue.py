@@ -285,6 +285,24 @@ def epoch_plan(spark, d):
     return rows.select("lang", metrics.steps_per_epoch(F.col("n"), 4, 2).cast("long").alias("steps"))
 
 
+def first_rates(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.element_at(F.array(*[F.lit(x) for x in (16000, 22050, 44100)]), (F.col("n_chars") % 3 + 1).cast("int")).cast("long").alias("sample_rate"))
+    return metrics.first_rates(rows, "doc_id")
+
+
+def speaker_overview(spark, d):
+    docs = table(spark, d, "documents")
+    scores = docs.groupBy(F.col("source").alias("speaker")).agg(r6(F.avg("n_chars")).alias("score"))
+    hours = docs.filter("lang = 'en'").groupBy(F.col("source").alias("speaker")).agg(r6(F.sum("n_chars") / 3600).alias("hours"))
+    sources = docs.filter("lang = 'de' AND doc_id % 2 = 0").groupBy(F.col("source").alias("speaker")).agg(F.lit("script").alias("text_source"))
+    return metrics.speaker_overview(scores, hours, sources)
+
+
+def slim_tensors(spark, d):
+    rows = table(spark, d, "part").select(F.concat(F.when(F.col("p_size") % 3 == 0, "net.gpt.").when(F.col("p_size") % 3 == 1, "net.dvae.").otherwise("opt."), F.col("p_partkey").cast("string")).alias("name"), F.when(F.col("p_partkey") % 2 == 0, "float32").otherwise("int64").alias("dtype"), F.col("p_size").cast("long").alias("n"))
+    return metrics.slim_tensors(rows, r"^net\.gpt\.", r"net\.").groupBy("kept", "dtype").agg(F.count("*").alias("n"), F.sum("bytes_before").alias("bytes_before"), F.sum("bytes_after").alias("bytes_after"), F.min("name").alias("first_name"))
+
+
 # ---- order, samples ----
 
 
@@ -524,7 +542,7 @@ QUERIES = {
         chunk_regions, region_chunk_overlap, trim_overlap, dedupe_spans, snap_regions, merge_short, pad_neighbours, overlap_check, length_band, coverage,
         drop_reasons, drop_counts, corpus_cascade, speaker_cascade, best_source_files, originals_else_all, file_stems,
         wav_join, key_join, speaker_dirs, missing_names, resume_antijoin, cache_fill, episode_state, plan_estimate, adopt_first, schema_union, manifest_summary, conditioning_clip, failover_pairs,
-        stat_blocks, failure_rate, index_percentiles, speaker_hours, pooled_ratings, rater_groups, disagreement_topk, least_intelligible, ordered_distinct, character_counts, unmapped_chars, modal_width, epoch_plan,
+        stat_blocks, failure_rate, index_percentiles, speaker_hours, pooled_ratings, rater_groups, disagreement_topk, least_intelligible, ordered_distinct, character_counts, unmapped_chars, modal_width, epoch_plan, first_rates, speaker_overview, slim_tensors,
         train_eval_split, seeded_split, terciles, first_per_group, interleave_pairs, longest_text,
         fold_roman, normalise_text, fold_script, cer_pairs, word_accuracy_pairs, escaped_html,
         delimiter_sniff, log_series, log_verdicts, log_divergence, log_summary, log_lines_shown, rolling_mean, best_checkpoints, finite_numbers,

@@ -221,6 +221,12 @@ SELECT CASE WHEN grouping(lang) = 1 THEN 'all' ELSE lang END AS lang, count(x) A
     "modal_width": f"""WITH l AS ({LINES}), w AS (SELECT file, CAST(len(string_split(line, ',')) AS BIGINT) AS width, count(*) AS n, min(line_no) AS seen FROM l WHERE line <> '' GROUP BY ALL)
 SELECT file, width, n, CAST(sum(n) OVER (PARTITION BY file) AS BIGINT) AS rows FROM w QUALIFY row_number() OVER (PARTITION BY file ORDER BY n DESC, seen) = 1""",
     "epoch_plan": "SELECT lang, greatest(1, count(*) // 8) AS steps FROM documents GROUP BY lang",
+    "first_rates": "SELECT sample_rate, count(*) AS n FROM (SELECT CAST([16000, 22050, 44100][n_chars % 3 + 1] AS BIGINT) AS sample_rate FROM documents ORDER BY doc_id LIMIT 200) GROUP BY sample_rate",
+    "speaker_overview": """SELECT source AS speaker, round(avg(n_chars), 6) AS score, round(sum(n_chars) FILTER (lang = 'en') / 3600, 6) AS hours, CASE WHEN count(*) FILTER (lang = 'de' AND doc_id % 2 = 0) > 0 THEN 'script' END AS text_source
+FROM documents GROUP BY source""",
+    "slim_tensors": """WITH t AS (SELECT p_size % 3 = 0 AS kept, CASE WHEN p_partkey % 2 = 0 THEN 'float32' ELSE 'int64' END AS dtype, p_size AS n, 'gpt.' || p_partkey AS name FROM part)
+SELECT kept, dtype, count(*) AS n, CAST(sum(n * CASE dtype WHEN 'float32' THEN 4 ELSE 8 END) AS BIGINT) AS bytes_before, CAST(sum(CASE WHEN NOT kept THEN 0 WHEN dtype = 'float32' THEN n * 2 ELSE n * 8 END) AS BIGINT) AS bytes_after, min(CASE WHEN kept THEN name END) AS first_name
+FROM t GROUP BY kept, dtype""",
     "train_eval_split": "SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY (doc_id * 7919) % 10007, doc_id) <= least(40, count(*) OVER (PARTITION BY lang) // 10) AS is_eval FROM documents",
     "seeded_split": "SELECT lang, count(*) AS n, least(40, count(*) // 10) AS n_eval FROM documents GROUP BY lang",
     "terciles": f"""WITH w AS (SELECT doc_id, lang, len({words('text')}) AS n_words FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_words, doc_id) AS rn, greatest(1, count(*) OVER (PARTITION BY lang) // 3) AS t FROM w)

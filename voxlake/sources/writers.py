@@ -84,6 +84,26 @@ def panel_items(items: DataFrame, audio: DataFrame) -> DataFrame:
     return items.join(audio, "clip_id").select("part", "item", F.concat(F.lit("<section>"), sound, fields, F.lit("</section>")).alias("html"))
 
 
+def panel_page(sections: list[str], rater_fields: tuple[str, ...] = ("rater", "group")) -> str:
+    """A listening form for one rater: sections of panel_items (a panel is a short list) with a button that hands the
+    answers out as CSV, one row for each field."""
+    who = "".join(f'<label>{f} <input id="{f}"></label>' for f in rater_fields)
+    script = (
+        "function save(){var q=function(x){return '\"'+String(x).replace(/\"/g,'\"\"')+'\"'},own=["
+        + ",".join(f"document.getElementById('{f}').value" for f in rater_fields)
+        + "],out=[" + ",".join(f"'{f}'" for f in rater_fields) + ",'field','part','item','value'].join(',');"
+        "document.querySelectorAll('section input').forEach(function(i){var n=i.name.split('-');out+='\\n'+own.concat([n[0],n[1],n[2],i.value]).map(q).join(',')});"
+        "var a=document.createElement('a');a.href=URL.createObjectURL(new Blob(['\\ufeff'+out],{type:'text/csv'}));a.download='answers.csv';a.click()}"
+    )
+    return f'<!doctype html><meta charset="utf-8"><body>{who}{"".join(sections)}<button onclick="save()">Save</button><script>{script}</script></body>'
+
+
+def wide_answers(answers: DataFrame) -> DataFrame:
+    """Rows of a panel's CSV (rater, group, field, part, item, value) as one response for each item."""
+    one = lambda f: F.max(F.when(F.col("field") == f, F.col("value"))).alias(f)
+    return answers.groupBy("rater", "group", "part", "item").agg(one("intelligibility"), one("naturalness"), one("transcript"))
+
+
 def cut_clips(clips: DataFrame, audio: DataFrame, key: str = "episode") -> DataFrame:
     """(key, clip_id, content): each clip's wav bytes from its episode's samples; several clips share one decoded episode."""
 
