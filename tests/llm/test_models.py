@@ -159,6 +159,26 @@ def test_fast_encoder_equals_the_library(vocabularies, name, slots):
     assert [x.tolist() for x in fast(odd)] == [x.tolist() for x in plain(odd)]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_texts_are_cut_where_it_makes_no_difference(vocabularies, name, monkeypatch):
+    monkeypatch.setattr(tokens, "BATCH", 40)
+    rng = random.Random(2)
+    texts = ["".join(rng.choices(["word ", "it's ", "  ", "\n", "a b", "12 ", "!! x", "É"], k=rng.randint(1, 120))) for _ in range(60)]
+    fast, plain = tokens.Encoder(vocabularies(name)), tokens.Encoder(vocabularies(name), 0)
+    assert [x.tolist() for x in fast(texts)] == [x.tolist() for x in plain(texts)]
+
+
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    from voxlake.llm import shingles
+
+    raw = [("ab cde f\n" * 50 + "x" * 90 + " tail").encode(), b"", b"one two"]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    whole = shingles.word_hashes(data, offsets)
+    monkeypatch.setattr(shingles, "BLOCK", 16)
+    parts = shingles.word_hashes(data, offsets)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
 def test_token_files_round_trip(spark, documents, corpus, vocabularies, tmp_path, monkeypatch):
     monkeypatch.setattr(token_output, "FILE_BYTES", 20_000)
     path, vocabulary = str(tmp_path / "tokens"), vocabularies("byte_bpe_50k.json")

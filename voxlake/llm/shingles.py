@@ -49,13 +49,24 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets)
 
 
+#: Bytes that are hashed together; a longer text is hashed word group by word group.
+BLOCK = 4 << 20
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, index of each text's first word and the end)."""
     starts, ends, first = word_bounds(data, offsets)
-    up, down = _power(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUE[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), first
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
+        a, b = starts[i:j] - starts[i], ends[i:j] - starts[i]
+        part = data[starts[i] : ends[j - 1]]
+        up, down = _power(len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_VALUE[part] * up[: len(part)], out=sums[1:])
+        out[i:j] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        i = j
+    return out, first
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.ndarray]:

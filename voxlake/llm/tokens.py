@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 
@@ -107,6 +108,20 @@ def cut(data: np.ndarray, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
     return start, end
 
 
+#: Bytes that are cut and looked up together.
+BATCH = 1 << 20
+#: A blank between two letters: both rules begin a new piece there, whatever stands around.
+_SAFE = re.compile(rb"(?<=[A-Za-z]) (?=[A-Za-z])")
+
+
+def _pieces(raw: bytes):
+    """A long text in parts of about BATCH bytes that are encoded on their own."""
+    while len(raw) > 2 * BATCH and (m := _SAFE.search(raw, BATCH)):
+        yield raw[: m.start()]
+        raw = raw[m.start() :]
+    yield raw
+
+
 class Encoder:
     """texts -> list of id arrays (int32), without special tokens added."""
 
@@ -200,6 +215,14 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         out: list = [np.zeros(0, np.int32)] * len(texts)
         whole, at, raws, held = [], [], [], 0
+        parts: dict[int, list[np.ndarray]] = {}
+
+        def flush() -> None:
+            for j, ids in zip(at, self._batch(raws), strict=True):
+                parts.setdefault(j, []).append(ids)
+            at.clear()
+            raws.clear()
+
         for i, t in enumerate(texts):
             if not t:
                 continue
@@ -207,16 +230,17 @@ class Encoder:
             if raw is None:
                 whole.append(i)
                 continue
-            at.append(i)
-            raws.append(raw)
-            held += len(raw)
-            if held > 1 << 20:
-                for j, ids in zip(at, self._batch(raws), strict=True):
-                    out[j] = ids
-                at, raws, held = [], [], 0
+            for piece in _pieces(raw):
+                at.append(i)
+                raws.append(piece)
+                held += len(piece)
+                if held > BATCH:
+                    flush()
+                    held = 0
         if raws:
-            for j, ids in zip(at, self._batch(raws), strict=True):
-                out[j] = ids
+            flush()
+        for i, own in parts.items():
+            out[i] = own[0] if len(own) == 1 else np.concatenate(own)
         if whole:
             for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
                 out[i] = np.array(e.ids, np.int32)
