@@ -131,3 +131,19 @@ def test_edits_and_names(spark):
     df = spark.createDataFrame([("abc", "abd"), ("xbc", "xbd"), ("a", "a")], "l string, r string")
     assert [tuple(r) for r in T.common_edits(df, "l", "r").collect()] == [("replace", "c", "d", 2)]
     assert [r.x for r in spark.createDataFrame([("é",), ("",)], "a string").select(T.character_name()("a").alias("x")).collect()] == ["LATIN SMALL LETTER E WITH ACUTE", "?"]
+
+
+def test_whole_turns_are_compared(spark, tmp_path):
+    """The queries of whole turns against brute force: beyond 200 characters, beyond 12 words, letters outside ASCII."""
+    from voxlake.plans.catalogue import QUERIES
+
+    rng = random.Random(5)
+    same = " ".join(rng.choices(["tala", "mire", "kosu"], k=60))
+    texts = [same + " one two", same + " three four five", "é ජ à", "è ජ", "", " a  b ", " ".join(rng.choices(["à", "b", "ජල"], k=300)), " ".join(rng.choices(["à", "b", "ජල"], k=250))]
+    spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = [{r.turn: r[2] for r in QUERIES[q](spark, str(tmp_path)).collect()} for q in ("cer_turns", "word_accuracy_turns")]
+    for i, (a, b) in enumerate(zip(texts, texts[1:])):
+        x, y = " ".join(a.split()), " ".join(b.split())
+        assert got[0][i] == pytest.approx((1.0 if y else 0.0) if not x else distance(x, y) / len(x), abs=1e-6)
+        assert got[1][i] == pytest.approx(0.0 if not x else max(0.0, 1 - distance(a.split(), b.split()) / len(a.split())), abs=1e-6)
+    assert len(got[0]) == len(got[1]) == len(texts) - 1

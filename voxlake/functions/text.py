@@ -137,18 +137,31 @@ def character_error_rate(ref: Column, hyp: Column) -> Column:
 
 
 def token_distance(a: Column, b: Column) -> Column:
-    """Edit distance of two arrays."""
-    start = F.when(F.size(b) > 0, F.sequence(F.lit(0), F.size(b))).otherwise(F.array(F.lit(0)))
-
-    def row(prev: Column, x: Column) -> Column:
-        def cell(acc: Column, y: Column) -> Column:
-            j = F.size(acc)
-            best = F.least(F.get(prev, j) + 1, F.element_at(acc, -1) + 1, F.get(prev, j - 1) + F.when(x == y, 0).otherwise(1))
-            return F.concat(acc, F.array(best))
-
-        return F.aggregate(b, F.array(F.get(prev, F.lit(0)) + 1), cell)
+    """Edit distance of two arrays of strings of any length; null if one is null."""
+    from pyspark.sql.functions import pandas_udf
 
-    return F.element_at(F.aggregate(a, start, row), -1)
+    @pandas_udf("int")
+    def distance(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        import numpy as np
+
+        def one(x, y):
+            if x is None or y is None:
+                return None
+            number: dict = {}
+            x, y = ([number.setdefault(w, len(number)) for w in ws] for ws in (x, y))
+            y, ramp = np.array(y, np.int64), np.arange(len(y) + 1)
+            row = ramp
+            # a row of the table at once: the best without a step along the row, then the cheapest such step
+            for i, w in enumerate(x, 1):
+                new = np.empty_like(row)
+                new[0] = i
+                np.minimum(row[1:] + 1, row[:-1] + (y != w), out=new[1:])
+                row = np.minimum.accumulate(new - ramp) + ramp
+            return int(row[-1])
+
+        return pd.Series([one(x, y) for x, y in zip(xs, ys, strict=True)], dtype="Int32")
+
+    return distance(a, b)
 
 
 def word_accuracy(ref: Column, hyp: Column) -> Column:

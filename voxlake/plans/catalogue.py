@@ -371,6 +371,22 @@ def word_accuracy_pairs(spark, d):
     return turn_pairs(spark, d).select("conv_id", "turn", r6(T.word_accuracy(cut("text"), cut("following"))).alias("accuracy"))
 
 
+def whole_turn_pairs(spark, d):
+    """Each turn with the next one of its conversation, both as they stand."""
+    w = W.partitionBy("conv_id").orderBy("turn")
+    return table(spark, d, "conversations").select("conv_id", "turn", "text", F.lead("text").over(w).alias("following")).filter("following IS NOT NULL")
+
+
+def cer_turns(spark, d):
+    """cer_pairs compares 200 characters without non-ASCII letters, as its SQL says; this compares whole texts."""
+    return whole_turn_pairs(spark, d).select("conv_id", "turn", r6(T.character_error_rate(F.col("text"), F.col("following"))).alias("cer"))
+
+
+def word_accuracy_turns(spark, d):
+    """word_accuracy_pairs compares 12 words without non-ASCII letters, as its SQL says; this compares whole texts."""
+    return whole_turn_pairs(spark, d).select("conv_id", "turn", r6(T.word_accuracy(F.col("text"), F.col("following"))).alias("accuracy"))
+
+
 def escaped_html(spark, d):
     return table(spark, d, "pages").select("page_id", T.html_escape(F.col("html")).alias("escaped"), F.base64(F.encode("url", "UTF-8")).alias("encoded"))
 
@@ -544,7 +560,7 @@ QUERIES = {
         wav_join, key_join, speaker_dirs, missing_names, resume_antijoin, cache_fill, episode_state, plan_estimate, adopt_first, schema_union, manifest_summary, conditioning_clip, failover_pairs,
         stat_blocks, failure_rate, index_percentiles, speaker_hours, pooled_ratings, rater_groups, disagreement_topk, least_intelligible, ordered_distinct, character_counts, unmapped_chars, modal_width, epoch_plan, first_rates, speaker_overview, slim_tensors,
         train_eval_split, seeded_split, terciles, first_per_group, interleave_pairs, longest_text,
-        fold_roman, normalise_text, fold_script, cer_pairs, word_accuracy_pairs, escaped_html,
+        fold_roman, normalise_text, fold_script, cer_pairs, word_accuracy_pairs, cer_turns, word_accuracy_turns, escaped_html,
         delimiter_sniff, log_series, log_verdicts, log_divergence, log_summary, log_lines_shown, rolling_mean, best_checkpoints, finite_numbers,
         regression_gates, findings, cosine_prev, pitch_stats, json_items, quota_errors, next_reset, quality_tags, metric_unwrap, dtw_distance, clip_signals, streaming_counts,
     )
