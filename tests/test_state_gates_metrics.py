@@ -186,3 +186,11 @@ def test_regions_of_a_signal(spark):
     df = spark.createDataFrame([("e", signal.tolist(), 16000), ("f", None, 16000)], "episode string, samples array<float>, rate long")
     assert [tuple(r) for r in B.detect_regions(df, B.EnergyDetector()).collect()] == [("e", 0.5, 1.0)]
     assert len(B.resample(signal, 16000, 8000)) == len(signal) // 2
+
+
+def test_every_vector_is_a_clip(spark, tmp_path):
+    from voxlake.plans.catalogue import QUERIES
+
+    spark.createDataFrame([(i, i % 3, [i / 10, 0.0]) for i in range(6)], "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {r.clip_id: r.cents for r in QUERIES["clip_signals"](spark, str(tmp_path)).collect()}
+    assert set(got) == {str(i) for i in range(6)} and all(x > 0 for x in got.values())
