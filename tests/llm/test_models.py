@@ -319,6 +319,18 @@ def test_page_text(spark):
     assert html.main_text(df).count() == len(pages) and html.main_text(df.limit(0)).count() == 0
 
 
+def page_texts(spark, pages):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in html.main_text(df).orderBy("page_id").collect()]
+
+
+def test_template_inside_article(spark):
+    """Constant blocks without a telling class, at the end and amid the paragraphs."""
+    pages = [("http://h/", f"<body><article><h1>T{i}</h1>" + "".join(f"<p>w{i} {j}</p>" for j in range(i)) + "<p>Read more of us</p>" + "".join(f"<p>v{i} {j}</p>" for j in range(3)) + "<p>Tell a friend</p></article></body>") for i in range(8)]
+    for i, text in enumerate(page_texts(spark, pages)):
+        assert text == " ".join([f"T{i}", *[f"w{i} {j}" for j in range(i)], *[f"v{i} {j}" for j in range(3)]])
+
+
 def test_broken_pages():
     deep = "<div>" * 20_000 + "<p>in" + "</div>" * 20_000 + "<p>out"
     assert html.extract(deep) == "in out"

@@ -243,7 +243,7 @@ def extract(source: str | None, wrapper: frozenset[str] | set[str] = frozenset()
     if not source:
         return ""
     root = parse(source)
-    articles = _find(root, "article") or _find(root, "main")
+    articles = _find(root, "article", "/") or _find(root, "main", "/")
     blocks: list[str] = []
     held: list[str] = []
 
@@ -257,7 +257,7 @@ def extract(source: str | None, wrapper: frozenset[str] | set[str] = frozenset()
         path = f"{path}/{n.tag}" + (f".{n.mark}" if n.mark else "")
         if n.tag in DROPPED or (n.boiler and n.tag not in ("html", "body", "article", "main")) or (n.tag == "header" and not inside):
             return
-        if wrapper and not inside and n.tag not in INLINE:
+        if wrapper and n.tag not in INLINE:
             leaf = not any(isinstance(c, Node) and c.tag not in INLINE and c.tag not in VOID and c.tag not in RAW for c in n.children)
             if f"{path}\t{whole_text(n) if leaf else own_text(n)}" in wrapper and leaf:
                 return
@@ -273,22 +273,22 @@ def extract(source: str | None, wrapper: frozenset[str] | set[str] = frozenset()
             flush()
 
     if articles:
-        for a in articles:
-            walk(a, "", True)
+        for a, above in articles:
+            walk(a, above, True)
     else:
         walk(root, "", False)
     return " ".join(blocks)
 
 
-def _find(node: Node, tag: str) -> list[Node]:
-    """Outermost elements of a tag that no dropped element holds."""
+def _find(node: Node, tag: str, path: str) -> list[tuple[Node, str]]:
+    """Outermost elements of a tag that no dropped element holds, each with the path of the element around it."""
     out = []
     for c in node.children:
         if isinstance(c, Node):
             if c.tag == tag:
-                out.append(c)
+                out.append((c, path))
             elif c.tag not in DROPPED and not (c.boiler and c.tag not in ("html", "body")):
-                out += _find(c, tag)
+                out += _find(c, tag, f"{path}/{c.tag}" + (f".{c.mark}" if c.mark else ""))
     return out
 
 
