@@ -331,6 +331,12 @@ def test_template_inside_article(spark):
         assert text == " ".join([f"T{i}", *[f"w{i} {j}" for j in range(i)], *[f"v{i} {j}" for j in range(3)]])
 
 
+def test_template_after_long_lists(spark):
+    """Constant blocks after more than 60 children, more than 2000 of them, are found."""
+    pages = [("http://h/", "<body><div id=c>" + "".join(f"<p>p{i} {j}</p>" for j in range(70 + i)) + "".join(f"<div>Foot {j}</div>" for j in range(2100)) + "</div></body>") for i in range(4)]
+    assert page_texts(spark, pages) == [" ".join(f"p{i} {j}" for j in range(70 + i)) for i in range(4)]
+
+
 def test_broken_pages():
     deep = "<div>" * 20_000 + "<p>in" + "</div>" * 20_000 + "<p>out"
     assert html.extract(deep) == "in out"

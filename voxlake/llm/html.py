@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -33,8 +35,6 @@ from voxlake.llm.common import bounded_batches, materialise
 
 #: Pages of a host that a wrapper is induced from, and the fewest that make one.
 SAMPLE, FEWEST = 8, 3
-#: A host's wrapper keeps at most so many constant nodes; a node of a longer list is then judged by its tag alone.
-WRAPPER_NODES = 2_000
 #: Elements nested deeper than this are read as part of the element around them.
 DEPTH = 200
 
@@ -67,6 +67,7 @@ class Node:
     mark: str = ""
     boiler: bool = False
     children: list = field(default_factory=list)  # nodes and strings
+    shape: tuple | None = None
 
 
 @lru_cache(4096)
@@ -164,22 +165,96 @@ def whole_text(node: Node) -> str:
 def matching(a: Node, b: Node, found: list | None = None) -> int:
     """Simple tree matching: size of the largest matching of two trees; `found` gets the matched pairs.
 
-    Two nodes match if tag and marks agree; children are matched in order by dynamic programming.
+    Two nodes match if tag and marks agree; children are matched in order by dynamic programming. Children that are equal
+    with their texts are matched first, from both ends of the lists and where a text occurs once in each list; without
+    texts the matching is the largest there is. Lists of any length are aligned whole.
     """
     if a.tag != b.tag or a.mark != b.mark:
         return 0
     xs, ys = ([c for c in n.children if isinstance(c, Node)] for n in (a, b))
-    # long lists of children: equal heads and tails are matched as they stand, the rest by the table
+    if found is not None:
+        found.append((a, b))
+    if not xs or not ys:
+        return 1
+    return 1 + _lists(xs, ys, found)
+
+
+def _shape(n: Node) -> tuple[int, int]:
+    """Hashes of a tree with its texts and without them, kept in the node."""
+    if n.shape is None:
+        below = [c if isinstance(c, str) else _shape(c) for c in n.children]
+        n.shape = hash((n.tag, n.mark, *[c if isinstance(c, str) else c[0] for c in below])), hash((n.tag, n.mark, *[c[1] for c in below if not isinstance(c, str)]))
+    return n.shape
+
+
+def _has_text(n: Node) -> bool:
+    return any(c if isinstance(c, str) else _has_text(c) for c in n.children)
+
+
+def _ends(xs: list, ys: list, kx: list, ky: list) -> tuple[int, int]:
+    """How many children are equal at the heads, and then at the tails."""
+    most = min(len(xs), len(ys))
+    head = next((i for i in range(most) if kx[i] != ky[i]), most)
+    tail = next((i for i in range(most - head) if kx[-1 - i] != ky[-1 - i]), most - head)
+    return head, tail
+
+
+def _anchors(kx: list, ky: list) -> list[tuple[int, int]]:
+    """The longest increasing run of places of keys with text that occur once in each list."""
+    once = {k: j for j, k in enumerate(ky) if k is not None}
+    nx, ny = Counter(kx), Counter(ky)
+    tops: list[int] = []
+    chain: list[tuple[int, int, object]] = []
+    ends: list = []
+    for i, k in enumerate(kx):
+        if k is None or nx[k] != 1 or ny.get(k) != 1:
+            continue
+        j = once[k]
+        at = bisect_left(tops, j)
+        link = (i, j, ends[at - 1] if at else None)
+        chain.append(link)
+        tops[at : at + 1] = [j]
+        ends[at : at + 1] = [link]
+    out, link = [], ends[-1] if ends else None
+    while link:
+        out.append((link[0], link[1]))
+        link = link[2]
+    return out[::-1]
+
+
+def _lists(xs: list, ys: list, found: list | None) -> int:
+    total = 0
+    kx, ky = ([_shape(c)[0] for c in n] for n in (xs, ys))
+    head, tail = _ends(xs, ys, kx, ky)
+    pairs = [(i, i) for i in range(head)] + [(len(xs) - 1 - i, len(ys) - 1 - i) for i in range(tail)]
+    total += sum(matching(xs[i], ys[j], found) for i, j in pairs)
+    xs, ys, kx, ky = xs[head : len(xs) - tail], ys[head : len(ys) - tail], kx[head : len(kx) - tail], ky[head : len(ky) - tail]
+    told = [[k if _has_text(c) else None for k, c in zip(ks, n, strict=True)] for ks, n in ((kx, xs), (ky, ys))]
+    i = j = 0
+    for x, y in [*_anchors(*told), (len(xs), len(ys))]:
+        total += _between(xs[i:x], ys[j:y], found)
+        if x < len(xs):
+            total += matching(xs[x], ys[y], found)
+        i, j = x + 1, y + 1
+    return total
+
+
+def _between(xs: list, ys: list, found: list | None) -> int:
+    """Children without equal texts: those of one form at both ends as they stand, the rest by the table."""
+    # from the tails first: what follows the varying part of a page is the template's more often than what precedes it
+    tail, head = _ends(xs[::-1], ys[::-1], *([_shape(c)[1] for c in n[::-1]] for n in (xs, ys)))
+    total = sum(matching(xs[i], ys[i], found) for i in range(head)) + sum(matching(xs[-1 - i], ys[-1 - i], found) for i in range(tail))
+    xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
+    if not xs or not ys:
+        return total
     width = len(ys) + 1
     best = [[0] * width for _ in range(len(xs) + 1)]
     size = [[0] * width for _ in range(len(xs) + 1)]
     for i, x in enumerate(xs, 1):
         for j, y in enumerate(ys, 1):
-            w = matching(x, y)
-            size[i][j] = w
+            w = size[i][j] = matching(x, y)
             best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w)
     if found is not None:
-        found.append((a, b))
         i, j = len(xs), len(ys)
         while i and j:
             if size[i][j] and best[i][j] == best[i - 1][j - 1] + size[i][j]:
@@ -189,13 +264,13 @@ def matching(a: Node, b: Node, found: list | None = None) -> int:
                 i -= 1
             else:
                 j -= 1
-    return 1 + best[len(xs)][len(ys)]
+    return total + best[len(xs)][len(ys)]
 
 
-def pruned(node: Node, most: int = 60) -> Node:
-    """A copy without dropped tags' insides and inline elements, each list of children cut to `most`, for alignment."""
-    children = [pruned(c, most) for c in node.children if isinstance(c, Node) and c.tag not in INLINE and c.tag not in VOID and c.tag not in RAW]
-    copy = Node(node.tag, node.mark, node.boiler, children[:most])
+def pruned(node: Node) -> Node:
+    """A copy without inline, void and raw elements, for alignment; a node's last child is its text."""
+    children = [pruned(c) for c in node.children if isinstance(c, Node) and c.tag not in INLINE and c.tag not in VOID and c.tag not in RAW]
+    copy = Node(node.tag, node.mark, node.boiler, children[:])
     copy.children.append(whole_text(node) if not children else own_text(node))
     return copy
 
@@ -235,7 +310,7 @@ def induce(pages: list[str]) -> list[str]:
                 walk(c)
 
     walk(base)
-    return out[:WRAPPER_NODES]
+    return out
 
 
 def extract(source: str | None, wrapper: frozenset[str] | set[str] = frozenset()) -> str:
