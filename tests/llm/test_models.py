@@ -331,6 +331,14 @@ def test_template_inside_article(spark):
         assert text == " ".join([f"T{i}", *[f"w{i} {j}" for j in range(i)], *[f"v{i} {j}" for j in range(3)]])
 
 
+def test_template_of_small_hosts_and_layouts(spark):
+    """Hosts of three pages always have a wrapper; a host's layouts each have their own."""
+    pages = [(f"http://h{k}/", f"<body><div id=c><p>a{k} {i}</p></div><p>Same {k}</p></body>") for k in range(12) for i in range(3)]
+    pages += [(None, f"<body><div id=x{k}><p>b{k} {i}</p><p>Foot {k}</p></div></body>") for k in range(3) for i in range(12)]
+    want = [f"a{k} {i}" for k in range(12) for i in range(3)] + [f"b{k} {i}" for k in range(3) for i in range(12)]
+    assert page_texts(spark, pages) == want
+
+
 def test_template_after_long_lists(spark):
     """Constant blocks after more than 60 children, more than 2000 of them, are found."""
     pages = [("http://h/", "<body><div id=c>" + "".join(f"<p>p{i} {j}</p>" for j in range(70 + i)) + "".join(f"<div>Foot {j}</div>" for j in range(2100)) + "</div></body>") for i in range(4)]

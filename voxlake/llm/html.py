@@ -1,14 +1,15 @@
 """Main text of web pages by wrapper induction.
 
-For each host a few pages with different markup are taken (at most `SAMPLE`, by a hash of the page id: a bounded sample to fit on)
-and their element trees are aligned in pairs by simple tree matching, the largest order-preserving matching of two
-trees whose roots agree. A node whose text is the same in all aligned pages belongs to the host's template; a node that
-varies is a slot. The wrapper keeps the paths and texts of the constant nodes.
+The pages of a host are grouped by layout (the containers right below the body), and all different pages of a group are
+aligned with one of them by simple tree matching, the largest order-preserving matching of two trees whose roots agree
+(children that are equal with their texts first). A leaf whose text is the same on all pages that have it, and that half
+of the group's pages and at least `FEWEST` have, belongs to the host's template; a leaf that varies is a slot. The wrapper
+keeps the paths and texts of the constant leaves.
 
 Every page is then parsed whole. Elements that never hold an article's text (navigation, page headers and footers,
 sidebars, forms, scripts, notices, adverts, comments: by tag, role, or words of class and id) are left out, and so are
-template nodes of the host outside the article element. If the page has an article or main element, its blocks are the
-text; otherwise the body's remaining slots are.
+template nodes of the host, inside the article element and outside it. If the page has an article or main element, its
+blocks are the text; otherwise the body's remaining slots are.
 
 Character references are decoded; white space inside a block becomes one space; blocks are joined by one space in page
 order. Nothing is cut off.
@@ -20,6 +21,7 @@ one host; repeated rows are read one by one; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from bisect import bisect_left
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 
 from voxlake.llm.common import bounded_batches, materialise
 
-#: Pages of a host that a wrapper is induced from, and the fewest that make one.
-SAMPLE, FEWEST = 8, 3
+#: The fewest pages that make a wrapper.
+FEWEST = 3
 #: Elements nested deeper than this are read as part of the element around them.
 DEPTH = 200
 
@@ -46,6 +48,7 @@ CLOSES = {
     "p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul figure details".split()),
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option", "optgroup"]),
 }
+CONTAINERS = frozenset("div section main article header footer nav aside form table center".split())
 #: Words of a class or id that say that an element is not the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
@@ -286,31 +289,53 @@ def paths(node: Node, above: str = "", out: dict | None = None) -> dict[int, str
     return out
 
 
+def leaves(tree: Node) -> list[tuple[Node, str]]:
+    """(node, path) of a pruned tree's nodes that hold text and no other block, in page order."""
+    where, out = paths(tree), []
+
+    def walk(n: Node) -> None:
+        if len(n.children) == 1 and n.children[0]:
+            out.append((n, where[id(n)]))
+        for c in n.children[:-1]:
+            walk(c)
+
+    walk(tree)
+    return out
+
+
+def layout(tree: Node) -> int:
+    """A hash of the containers and marked elements right below the body: pages of one layout have it in common."""
+    body = next((c for h in (tree, *tree.children[:-1]) if isinstance(h, Node) for c in h.children[:-1] if c.tag == "body"), tree)
+    kinds = sorted({f"{c.tag}.{c.mark}" for c in body.children[:-1] if c.mark or c.tag in CONTAINERS})
+    return int.from_bytes(hashlib.blake2b("\n".join(kinds).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) or 1
+
+
+def agreeing(base: Node, number: dict[int, int], other: Node) -> tuple[list[int], list[int]]:
+    """Places of the base's leaves that another page has, and of those whose text is the same there."""
+    found: list = []
+    matching(base, other, found)
+    met = [(number[id(a)], a.children[-1] == b.children[-1] and len(b.children) == 1) for a, b in found if id(a) in number]
+    return [k for k, _ in met], [k for k, same in met if same]
+
+
+def constant(met: int, same: int, pages: int) -> bool:
+    """Is a leaf of the base, met on so many other pages of its group, the template's? (Also takes columns.)"""
+    return (same == met) & (met + 1 >= FEWEST) & (2 * (met + 1) >= pages)
+
+
 def induce(pages: list[str]) -> list[str]:
-    """The wrapper of a host: `path TAB text` of nodes that are the same in all aligned pages."""
+    """The wrapper of pages of one layout: `path TAB text` of leaves that are the same on all pages that have them."""
     trees = [pruned(parse(p)) for p in dict.fromkeys(pages)]
     if len(trees) < FEWEST:
         return []
-    base = trees[0]
-    where = paths(base)
-    same: dict[int, int] = {}
+    held = leaves(trees[0])
+    number = {id(n): k for k, (n, _) in enumerate(held)}
+    met, same = Counter(), Counter()
     for other in trees[1:]:
-        found: list = []
-        matching(base, other, found)
-        for a, b in found:
-            if a.children[-1] and a.children[-1] == b.children[-1]:
-                same[id(a)] = same.get(id(a), 0) + 1
-    out: list[str] = []
-
-    def walk(n: Node) -> None:
-        if same.get(id(n)) == len(trees) - 1:
-            out.append(f"{where[id(n)]}\t{n.children[-1]}")
-        for c in n.children:
-            if isinstance(c, Node):
-                walk(c)
-
-    walk(base)
-    return out
+        a, b = agreeing(trees[0], number, other)
+        met.update(a)
+        same.update(b)
+    return [f"{path}\t{n.children[-1]}" for k, (n, path) in enumerate(held) if constant(met[k], same[k], len(trees))]
 
 
 def extract(source: str | None, wrapper: frozenset[str] | set[str] = frozenset()) -> str:
@@ -372,28 +397,84 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def wrappers(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper): template nodes of each host, from at most SAMPLE of its pages."""
-    keys = pages.select(host_of(F.col(url_col)).alias("host"), F.col(id_col).alias("id"), F.xxhash64(id_col, F.lit("wrapper")).alias("h"))
-    # the least hash in each of SAMPLE slots: at most that many rows of a host leave any task
-    picked = keys.groupBy("host", F.pmod("h", F.lit(SAMPLE)).alias("slot")).agg(F.min_by("id", F.col("h")).alias("picked_id"), F.count("*").alias("n")).select("host", "picked_id")
-    picked = materialise(picked, "sample")
-    taken = pages.select(host_of(F.col(url_col)).alias("host"), F.col(id_col).alias("id"), F.col(html_col).alias("html")).filter(F.col("html").isNotNull())
-    rows = taken.join(picked.withColumnRenamed("host", "picked_host"), (F.col("id") == F.col("picked_id")) & (F.col("host") == F.col("picked_host")), "left_semi")
+def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, wrapper): template nodes of each host, from all its different pages.
+
+    Pages of one host and layout are a group; layouts of fewer than FEWEST pages are one group together. All pages of a
+    group are aligned with one of them, each where it lies, and only counts of its leaves are brought together.
+    """
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.xxhash64(html_col).alias("h"), F.col(html_col).alias("html")).filter(F.length("html") > 0)
 
-    def induced(key, table):
-        # a repeated id may bring more rows than the sample has slots
-        found = induce(sorted(table["html"].to_pylist())[:SAMPLE])
-        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "wrapper": pa.array([found], pa.list_(pa.string()))})
+    def framed(batches):
+        for batch in batches:
+            kinds = [layout(pruned(parse(x))) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kinds, pa.int64())], names=["host", "h", "layout"])
+
+    frames = materialise(rows.mapInArrow(framed, "host string, h long, layout long").distinct(), "frames")
+    kinds = frames.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min("h").alias("h"))
+    kinds = kinds.withColumn("layout", F.when(F.col("n") >= FEWEST, F.col("layout")).otherwise(0))
+    groups = materialise(kinds.groupBy("host", "layout").agg(F.sum("n").alias("n"), F.min("h").alias("h")).filter(F.col("n") >= FEWEST), "groups")
+    base = groups.select(F.col("host").alias("base_host"), F.col("h").alias("base_h"))
+    bases = rows.join(base.distinct(), (F.col("host") == F.col("base_host")) & (F.col("h") == F.col("base_h")), "left_semi").groupBy("host", "h").agg(F.min("html").alias("html"))
+    bases = materialise(groups.join(bases, ["host", "h"]), "bases")
+    size = bases.agg(F.sum(F.length("html"))).first()[0] or 0
+
+    def aligned(batches, known=None):
+        trees: dict = {}
+        for batch in batches:
+            hosts, hashes, sources = (batch.column(k).to_pylist() for k in range(3))
+            given = batch.column(3).to_pylist() if known is None else None
+            out = []
+            for k, (host, h, source) in enumerate(zip(hosts, hashes, sources, strict=True)):
+                mine = known.value.get(host) if known is not None else {x["layout"]: (x["h"], x["html"]) for x in given[k] or ()}
+                if not mine:
+                    continue
+                tree = pruned(parse(source))
+                kind = layout(tree)
+                kind = kind if kind in mine else 0
+                if kind not in mine or mine[kind][0] == h:
+                    continue
+                if (host, kind) not in trees:
+                    if len(trees) >= 256:
+                        trees.clear()
+                    first = pruned(parse(mine[kind][1]))
+                    trees[host, kind] = first, {id(n): i for i, (n, _) in enumerate(leaves(first))}
+                out.append((host, kind, h, *agreeing(*trees[host, kind], tree)))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["host", "layout", "h", "met", "same"])
+
+    types = "host string, layout long, h long, met array<int>, same array<int>"
+    if size <= 8 << 20:
+        sent: dict = {}
+        for r in bases.collect():
+            sent.setdefault(r.host, {})[r.layout] = (r.h, r.html)
+        sent = pages.sparkSession.sparkContext.broadcast(sent)
+        compared = rows.mapInArrow(lambda it: aligned(it, sent), types)
+    else:
+        lists = bases.groupBy(F.col("host").alias("base_host")).agg(F.collect_list(F.struct("layout", "h", "html")).alias("bases"))
+        compared = rows.join(lists, F.col("host") == F.col("base_host")).select("host", "h", "html", "bases").mapInArrow(aligned, types)
+    compared = materialise(compared.dropDuplicates(["host", "layout", "h"]), "compared")
+    met = compared.select("host", "layout", F.explode("met").alias("leaf"), "same")
+    counts = met.groupBy("host", "layout", "leaf").agg(F.count("*").alias("met"), F.count_if(F.array_contains("same", F.col("leaf"))).alias("same"))
+    kept = counts.join(groups.select("host", "layout", "n"), ["host", "layout"]).filter(constant(F.col("met"), F.col("same"), F.col("n")))
+    chosen = bases.join(kept.groupBy("host", "layout").agg(F.collect_list("leaf").alias("leaf")), ["host", "layout"]).select("host", "html", "leaf")
+
+    def named(batches):
+        for batch in batches:
+            out = []
+            for source, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                held = leaves(pruned(parse(source)))
+                out.append([f"{held[k][1]}\t{held[k][0].children[-1]}" for k in places])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["host", "wrapper"])
 
-    return rows.groupBy("host").applyInArrow(lambda key, table: induced(key, table), "host string, wrapper array<string>").filter(F.size("wrapper") > 0)
+    return chosen.mapInArrow(named, "host string, wrapper array<string>").groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("wrapper"))).alias("wrapper"))
 
 
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     spark = pages.sparkSession
     bounded_batches(spark, 128)
-    found = materialise(wrappers(pages, id_col=id_col, url_col=url_col, html_col=html_col), "wrappers")
+    found = materialise(wrappers(pages, url_col=url_col, html_col=html_col), "wrappers")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     size = found.agg(F.count("*"), F.sum(F.aggregate("wrapper", F.lit(0).cast("long"), lambda s, x: s + F.length(x)))).first()
     types = f"page_id {pages.schema[id_col].dataType.simpleString()}, url string, text string, n_chars long"
