@@ -319,6 +319,15 @@ def test_page_text(spark):
     assert html.main_text(df).count() == len(pages) and html.main_text(df.limit(0)).count() == 0
 
 
+def test_fit_learns_whole_runs():
+    """All parts of a run without spaces are counted, as the scorer cuts it."""
+    import pyarrow as pa
+
+    long, parts = "ab" * 32 + "cd" * 40 + "xyz", " ".join(["ab" * 32, "cd" * 32, "cd" * 8 + "xyz"])
+    fit = lambda t: langid._fit_group([pa.scalar("x")], pa.table({"text": [t]}), 3)["parts"].to_pylist()
+    assert langid.LONGEST == 64 and fit(long) == fit(parts) != fit("ab" * 32)
+
+
 def page_texts(spark, pages):
     df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
     return [r.text for r in html.main_text(df).orderBy("page_id").collect()]

@@ -190,7 +190,7 @@ def _fit_group(key, batch: pa.Table, order: int) -> pa.Table:
 
     counts: Counter = Counter()
     for t in batch["text"].to_pylist():
-        counts.update(w[:LONGEST] for w in words_of(t))
+        counts.update(w[i : i + LONGEST] for w in words_of(t) for i in range(0, len(w), LONGEST))
     levels = fit_language(counts, order) if counts else []
     parts = [np.ascontiguousarray(x).tobytes() for level in levels for x in level]
     return pa.table({"lang": [key[0].as_py()], "parts": pa.array([parts], pa.list_(pa.binary()))})
