@@ -59,6 +59,50 @@ def test_large_groups_of_variants_lose_no_link(spark, seed):
     assert got == near_groups(rows)
 
 
+def test_two_thousand_variants_around_the_threshold(spark):
+    """One text with one to three words replaced: pairs at 0.80 to 0.90, with the text itself and without it."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for _ in range(2000):
+        w = list(base)
+        for at in rng.sample(range(100), rng.choice([1, 1, 2, 2, 2, 3])):
+            w[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = near_groups(rows)
+    assert got == want and 20 < sum(w[2] for w in want.values()) < 1900
+
+
+@pytest.mark.parametrize("sizes", [(60, 80), (70, 70)])
+def test_repeated_ids_link_all_their_texts(spark, sizes):
+    """Rows (1, A), (1, B), (2, near A), (3, near B), with sets of unequal and of equal sizes."""
+    a, b = (" ".join(f"{c}{i}" for i in range(n)) for c, n in zip("ab", sizes, strict=True))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, "something else"), (1, a), (5, a)]
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (5, 1, False), (4, 4, True)}
+
+
+def test_lists_of_unrelated_groups(spark, monkeypatch):
+    """Groups that share some postings only, so that members far from a hub go on to the next one, and to the last join."""
+    rng = random.Random(8)
+    shared = [f"s{i}" for i in range(40)]
+    rows = []
+    for g in range(12):
+        own = [f"g{g}_{i}" for i in range(45)]
+        for _ in range(6):
+            w = shared + own
+            w[rng.randrange(85)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = near_groups(rows)
+    for rounds in (1, 4):
+        monkeypatch.setattr(near_dup, "ROUNDS", rounds)
+        monkeypatch.setattr(near_dup, "NEAR", 30)
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(df).collect()} == want
+
+
 def test_near_duplicate_odd_cases(spark):
     df = spark.createDataFrame([(None, "a b c d e f", "x"), (5, "a b c d e f", None), (5, "q", "y"), (6, "Q", "z"), (7, None, None)], "doc_id long, text string, component_id string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(df).collect()), key=str)

@@ -1,4 +1,4 @@
-"""Connected components by alternating large-star and small-star steps (Kiveris et al., 2014), and links by hubs."""
+"""Connected components by alternating large-star and small-star steps (Kiveris et al., 2014), and pairs by hubs."""
 
 from __future__ import annotations
 
@@ -85,10 +85,30 @@ def hub_links(posts: DataFrame, confirm: Callable[[DataFrame], DataFrame], *, ce
     return found if found is not None else posts.sparkSession.createDataFrame([], "u long, v long")
 
 
-def within_lists(members: DataFrame) -> DataFrame:
-    """Pairs of one list that are in different components."""
-    other = members.select("token", F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    return members.join(other, "token").filter((F.col("hub") < F.col("node")) & (F.col("component") != F.col("hub_component"))).select("hub", "node")
+def contracted(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """comp (node, component, ...) after links (u, v) between its nodes. Only components that a link joins are worked on, so
+    the tables shrink from one call to the next."""
+    if links.isEmpty():
+        return comp
+    ends = links.join(comp.select(F.col("node").alias("u"), F.col("component").alias("a")), "u").join(comp.select(F.col("node").alias("v"), F.col("component").alias("b")), "v")
+    joined = materialise(components(ends.select(F.col("a").alias("u"), F.col("b").alias("v"))), "joined").select(F.col("node").alias("component"), F.col("component").alias("root"))
+    rest = [c for c in comp.columns if c != "component"]
+    return materialise(comp.join(small_side(joined), "component", "left").select(*rest, F.coalesce("root", "component").alias("component")), "components")
+
+
+def within_lists(members: DataFrame, keys: list[str], extra: list[str] = (), condition: Column | None = None) -> DataFrame:
+    """Pairs (hub, node) of one list that are in different components, hub < node; members: (*keys, node, component, *extra).
+
+    One of a pair is outside the list's largest component, so only members outside it are joined with all. condition may
+    use the extra columns of both, those of the other one as hub_...
+    """
+    sizes = members.groupBy(*keys, "component").agg(F.count("*").alias("k"))
+    major = sizes.groupBy(*keys).agg(F.max_by("component", F.struct("k", "component")).alias("major"), F.count("*").alias("kinds")).filter("kinds > 1").select(*keys, "major")
+    mixed = materialise(members.select(*keys, "node", "component", *extra).join(small_side(materialise(major, "major")), keys), "mixed")
+    minor = mixed.filter("component <> major").select(*keys, F.col("node").alias("hub"), F.col("component").alias("hub_component"), *[F.col(c).alias(f"hub_{c}") for c in extra])
+    apart = (F.col("hub") != F.col("node")) & (F.col("component") != F.col("hub_component"))
+    pairs = mixed.join(minor, keys).filter(apart if condition is None else apart & condition)
+    return pairs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
 
 
 #: Members that are compared with one hub in one block.
