@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,48 +41,6 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return stars.union(roots)
 
 
-#: Rounds with one hub for each posting list before the remaining pairs are joined.
-HUB_ROUNDS = 3
-
-
-def hub_links(posts: DataFrame, confirm: Callable[[DataFrame], DataFrame], *, central: Column | None = None, last: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Confirmed links (u, v) that connect all that any links within posting lists would connect.
-
-    posts: (node, token, ...). confirm: takes distinct candidate pairs (hub, node), hub < node, and returns the links (u, v)
-    among them. central: the first round's hub is the node where this is least, the next rounds' hubs are drawn by hash.
-
-    In a round every list joins all its members to one hub; members that are in one component with it already are
-    skipped. The last round joins every pair of a list whose nodes are still in different components, so nothing that
-    shares a list is left untried; `last`, if given, takes those members (posts and component) and returns all pairs
-    (hub, node) that can still be links.
-    """
-    nodes = posts.select("node").distinct()
-    found, tried, comp = None, None, nodes.withColumn("component", F.col("node"))
-    for turn in range(HUB_ROUNDS + 1):
-        members = posts.join(comp, "node")
-        order = F.xxhash64("node", F.lit(turn))
-        order = F.struct(central, order) if turn == 0 and central is not None else order
-        if turn < HUB_ROUNDS:
-            hubs = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by(F.struct("node", "component"), order).alias("hub")).filter("lo <> hi")
-            pairs = members.join(hubs.select("token", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component")), "token").filter("component <> hub_component").select("hub", "node")
-        else:
-            mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
-            left = members.join(mixed, "token")
-            pairs = last(left) if last else within_lists(left)
-        pairs = pairs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["hub", "node"], "left_anti")
-        fresh = materialise(pairs, "pairs")
-        if fresh.isEmpty():
-            continue
-        tried = fresh if tried is None else tried.union(fresh)
-        new = materialise(confirm(fresh), "links")
-        found = new if found is None else found.union(new)
-        if turn < HUB_ROUNDS:
-            comp = materialise(nodes.join(components(found), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
-    return found if found is not None else posts.sparkSession.createDataFrame([], "u long, v long")
-
-
 def contracted(comp: DataFrame, links: DataFrame) -> DataFrame:
     """comp (node, component, ...) after links (u, v) between its nodes. Only components that a link joins are worked on, so
     the tables shrink from one call to the next."""

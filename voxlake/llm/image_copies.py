@@ -1,19 +1,23 @@
 """Cropped and edited copies of images by local descriptors.
 
 1. Images (PGM or 8-bit PNG bytes) are decoded; images with equal pixels are one class from here on.
-2. On a pyramid of scales the strongest corners (Harris response, local maxima) are taken. Around each, the direction of
-   the intensity centroid turns a fixed pattern of 256 point pairs; which point of a pair is darker gives one bit.
-3. Hamming tables: four overlapping keys of 160 of a descriptor's 256 bits, so descriptors that differ in one bit always
-   share a key, and of an image's many corners some share one though a few per cent of all bits have changed. (Shorter
-   keys collide between unrelated images: patches with one strong edge look alike after turning, and the number of such
-   pairs grows with the square of the table.) Images are posted under their keys and joined hub by hub (see
-   graph.hub_links), not in all pairs.
+2. On a pyramid of scales, eight to an octave, corners are taken (local maxima of the Harris response, refined to parts of
+   a pixel; their number follows from the area of each scale). Around each, the direction of the intensity centroid turns
+   a fixed pattern of 256 point pairs, read between pixels; the slope in that direction is taken out, and which point of
+   a pair is darker gives one bit.
+3. Hamming tables: TABLES keys of KEY_BITS drawn bits each. Descriptors that differ in a tenth of their bits share a key
+   of 68 bits with a chance of 1 in 1300 in each table, and the dozens of corners of a copy, most of which differ less,
+   share some (the README has the measured recall). Images are posted under their keys, and every list joins its members
+   to one hub.
 4. Geometric consensus: of the mutual best matches between two images, those that agree on one turn, scale and shift are
-   counted; `consensus` of them make a link. Linked classes form components: an image and its crops and edits.
+   counted; `least` of them make a link. Linked classes form components: an image and its crops and edits. Lists whose
+   members are in several components go on with other hubs; in the end the members outside a list's largest component
+   are compared with all others of the list.
 
 Defined results: null, empty and undecodable images have no corners and are linked with nothing (null and undecodable
-ones are each a class of their own bytes); plain images have no corners; repeated ids count as one node; an empty table
-gives an empty result; other columns are ignored.
+ones are each a class of their own bytes); plain images have no corners; corners of equal strength go by place; rows of a
+repeated id link their images; an empty table gives an empty result; pictures of more than MOST_PIXELS are halved until they have
+fewer, so a picture's memory is bounded by that of its decoding; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,11 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import bounded_batches, materialise
-from voxlake.llm.graph import by_hub, components, hub_links, in_blocks
+from voxlake.llm.common import bounded_batches, materialise, small_side
+from voxlake.llm.graph import by_hub, contracted, in_blocks, within_lists
 from voxlake.llm.shingles import mix
 
-RADIUS, PAIRS, TURNS = 8, 256, 32
+LOWEST = -(2**63)
+RADIUS, PAIRS = 8, 256
+#: Scales of an octave, and how many scales there are at most.
+STEPS, SCALES = 8, 33
+#: Pixels of a scale for each corner that is taken, at most.
+CORNER_AREA = 200
+#: Pixels of a picture that are worked on, and of pictures of one size that are worked on together.
+MOST_PIXELS, TOGETHER = 1 << 22, 1 << 18
 #: Bytes of one corner in a payload: 32 of bits, then x, y, scale and turn as float32.
 CORNER = 48
 
@@ -108,56 +119,112 @@ def encode_pgm(pixels: np.ndarray) -> bytes:
     return b"P5\n%d %d\n255\n" % (pixels.shape[1], pixels.shape[0]) + np.clip(np.rint(pixels), 0, 255).astype(np.uint8).tobytes()
 
 
-def _pattern() -> np.ndarray:
-    """For each turn, the offsets (dy, dx) of both points of all pairs: (TURNS, 2, PAIRS, 2)."""
-    draw = np.random.default_rng(17)
-    points = np.clip(draw.normal(0, RADIUS / 2.2, (2, PAIRS, 2)), -RADIUS * 0.7, RADIUS * 0.7)
-    turn = np.arange(TURNS) * 2 * np.pi / TURNS
-    y, x = points[..., 0], points[..., 1]
-    s, c = np.sin(turn)[:, None, None], np.cos(turn)[:, None, None]
-    return np.rint(np.stack([x * s + y * c, x * c - y * s], axis=-1)).astype(np.int64)
-
-
-PATTERN = _pattern()
+_draw = np.random.default_rng(17)
+#: Both points (y, x) of all pairs, x along the direction of the centroid.
+PATTERN = np.clip(_draw.normal(0, RADIUS / 2, (2, PAIRS, 2)), -RADIUS * 0.72, RADIUS * 0.72).astype(np.float32)
 _GRID = np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1].astype(np.float32)
-_DISK = (_GRID**2).sum(0) <= RADIUS**2
+#: Weights of a patch around a corner, for its direction.
+_WEIGHT = np.where((_GRID**2).sum(0) <= RADIUS**2, np.exp(-(_GRID**2).sum(0) / (RADIUS**2 / 2)), 0).astype(np.float32)
+#: Bits of each table's keys.
+TABLES, KEY_BITS = 7, 68
+KEYS = np.stack([_draw.permutation(PAIRS)[:KEY_BITS] for _ in range(TABLES)])
 
 
 def _box(x: np.ndarray, r: int) -> np.ndarray:
-    """Mean over a square of side 2r+1, edges repeated."""
-    p = np.pad(x, r, mode="edge").astype(np.float64)
-    s = np.pad(p.cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+    """Mean over a square of side 2r+1 of the last two axes, edges repeated."""
+    p = np.pad(x, [(0, 0)] * (x.ndim - 2) + [(r, r), (r, r)], mode="edge").astype(np.float64)
+    s = np.pad(p.cumsum(-2).cumsum(-1), [(0, 0)] * (x.ndim - 2) + [(1, 0), (1, 0)])
     n = 2 * r + 1
-    return ((s[n:, n:] - s[:-n, n:] - s[n:, :-n] + s[:-n, :-n]) / n**2).astype(np.float32)
+    return ((s[..., n:, n:] - s[..., :-n, n:] - s[..., n:, :-n] + s[..., :-n, :-n]) / n**2).astype(np.float32)
+
+
+def _between(images: np.ndarray, which: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Values of images[which] at places between pixels."""
+    h, w = images.shape[1:]
+    y, x = np.clip(y, 0, h - 1.001), np.clip(x, 0, w - 1.001)
+    top, left = y.astype(np.int64), x.astype(np.int64)
+    fy, fx = (y - top).astype(np.float32), (x - left).astype(np.float32)
+    flat, at = images.ravel(), (which * h + top) * w + left
+    return (flat[at] * (1 - fx) + flat[at + 1] * fx) * (1 - fy) + (flat[at + w] * (1 - fx) + flat[at + w + 1] * fx) * fy
+
+
+def _scale(images: np.ndarray, factor: float) -> np.ndarray:
+    n, h, w = images.shape
+    out_h, out_w = round(h / factor), round(w / factor)
+    for _ in range(0 if factor < 1.5 else 1 if factor < 2.5 else 2):
+        images = _box(images, 1)
+    y, x = (np.arange(out_h) + 0.5) * h / out_h - 0.5, (np.arange(out_w) + 0.5) * w / out_w - 0.5
+    return _between(images, np.arange(n)[:, None, None], y[None, :, None], x[None, None, :])
+
+
+def _places(strength: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(image, y, x) of the local maxima of a scale, the strongest ones of each image in order of strength."""
+    edge = RADIUS + 1
+    h, w = strength.shape[1:]
+    inner = strength[:, edge:-edge, edge:-edge]
+    rows = np.max([strength[:, edge + d : h - edge + d] for d in range(-2, 3)], axis=0)
+    around = np.max([rows[:, :, edge + d : w - edge + d] for d in range(-2, 3)], axis=0)
+    k, y, x = np.nonzero((inner == around) & (inner > 1.0))
+    order = np.lexsort((x, y, -inner[k, y, x], k))
+    k, y, x = k[order], y[order], x[order]
+    rank = np.arange(len(k)) - np.searchsorted(k, k)
+    first = rank < max(4, inner[0].size // CORNER_AREA)
+    return k[first], y[first] + edge, x[first] + edge
+
+
+def _described_corners(level: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """(image, corner of CORNER bytes) of one scale of images of one size."""
+    smooth = _box(level, 1)
+    gy, gx = np.gradient(smooth, axis=(1, 2))
+    xx, yy, xy = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
+    strength = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
+    which, row, column = _places(strength)
+    if not len(which):
+        return which, np.zeros((0, CORNER), np.uint8)
+
+    def refined(dy: int, dx: int) -> np.ndarray:
+        before, here, after = (strength[which, row + d * dy, column + d * dx] for d in (-1, 0, 1))
+        return np.clip((before - after) / 2 / np.minimum(after - 2 * here + before, -1e-9), -0.5, 0.5)
+
+    y, x = row + refined(1, 0), column + refined(0, 1)
+    out = []
+    for a in range(0, len(which), 1024):
+        k, cy, cx = (v[a : a + 1024, None, None] for v in (which, y, x))
+        patch = _between(smooth, k, cy + _GRID[0], cx + _GRID[1]) * _WEIGHT
+        my, mx = (patch * _GRID[0]).sum((1, 2)), (patch * _GRID[1]).sum((1, 2))
+        angle = np.arctan2(my, mx)
+        s, c = np.sin(angle)[:, None, None], np.cos(angle)[:, None, None]
+        value = _between(smooth, k, cy + PATTERN[..., 1] * s + PATTERN[..., 0] * c, cx + PATTERN[..., 1] * c - PATTERN[..., 0] * s)
+        slope = np.hypot(my, mx) / (_WEIGHT * _GRID[0] ** 2).sum()
+        bits = np.packbits(value[:, 0] - value[:, 1] < slope[:, None] * (PATTERN[0, :, 1] - PATTERN[1, :, 1]), axis=1)
+        place = np.stack([cx[:, 0, 0] * factor, cy[:, 0, 0] * factor, np.full(len(k), factor), angle], axis=1).astype("<f4")
+        out.append(np.concatenate([bits, place.view(np.uint8).reshape(len(k), 16)], axis=1))
+    return which, np.concatenate(out)
+
+
+def stack_corners(images: np.ndarray) -> list[np.ndarray]:
+    """The corners of pictures of one size, each as rows of CORNER bytes."""
+    halved = 1
+    while images.shape[1] * images.shape[2] > MOST_PIXELS:
+        h, w = (n // 2 * 2 for n in images.shape[1:])
+        images, halved = images[:, :h, :w].reshape(len(images), h // 2, 2, w // 2, 2).mean((2, 4)), halved * 2
+    owner, rows = [], []
+    for step in range(SCALES):
+        factor = 2 ** (step / STEPS)
+        if min(images.shape[1:]) / factor < 2 * RADIUS + 6:
+            break
+        which, found = _described_corners(_scale(images, factor) if step else images, factor * halved)
+        owner.append(which)
+        rows.append(found)
+    if not rows:
+        return [np.zeros((0, CORNER), np.uint8)] * len(images)
+    owner, rows = np.concatenate(owner), np.concatenate(rows)
+    order = np.argsort(owner, kind="stable")
+    return np.split(rows[order], np.searchsorted(owner[order], np.arange(1, len(images))))
 
 
-def corners(pixels: np.ndarray, most: int = 24, scales: int = 3) -> np.ndarray:
-    """The strongest corners of a picture as rows of CORNER bytes."""
-    out, level, factor = [], pixels, 1.0
-    for _ in range(scales):
-        if min(level.shape) < 2 * RADIUS + 8:
-            break
-        smooth = _box(level, 1)
-        gy, gx = np.gradient(smooth)
-        xx, yy, xy = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
-        strength = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
-        inner = strength[RADIUS + 1 : -RADIUS - 1, RADIUS + 1 : -RADIUS - 1]
-        around = np.max([strength[RADIUS + 1 + dy : strength.shape[0] - RADIUS - 1 + dy, RADIUS + 1 + dx : strength.shape[1] - RADIUS - 1 + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1)], axis=0)
-        y, x = np.nonzero((inner == around) & (inner > 1.0))
-        best = np.argsort(-inner[y, x], kind="stable")[:most]
-        y, x = y[best] + RADIUS + 1, x[best] + RADIUS + 1
-        if len(y):
-            patch = smooth[y[:, None, None] + _GRID[0].astype(int), x[:, None, None] + _GRID[1].astype(int)] * _DISK
-            angle = np.arctan2((patch * _GRID[0]).sum((1, 2)), (patch * _GRID[1]).sum((1, 2)))
-            turn = np.rint(angle * TURNS / (2 * np.pi)).astype(int) % TURNS
-            at = PATTERN[turn]
-            value = _box(level, 2)[y[:, None, None] + at[..., 0], x[:, None, None] + at[..., 1]]
-            bits = np.packbits(value[:, 0] < value[:, 1], axis=1)
-            place = np.stack([x * factor, y * factor, np.full(len(x), factor), angle], axis=1).astype("<f4")
-            out.append(np.concatenate([bits, place.view(np.uint8).reshape(len(x), 16)], axis=1))
-        h, w = (n // 2 * 2 for n in level.shape)
-        level, factor = level[:h, :w].reshape(h // 2, 2, w // 2, 2).mean((1, 3)), factor * 2
-    return np.concatenate(out) if out else np.zeros((0, CORNER), np.uint8)
+def corners(pixels: np.ndarray) -> np.ndarray:
+    return stack_corners(pixels[None].astype(np.float32))[0]
 
 
 def consensus(a: np.ndarray, b: np.ndarray, bits: int = 40) -> int:
@@ -180,44 +247,54 @@ def consensus(a: np.ndarray, b: np.ndarray, bits: int = 40) -> int:
     at_y = scale[:, None] * (s[:, None] * p[:, 0] + c[:, None] * p[:, 1]) + shift_y[:, None]
     off = np.hypot(at_x - q[:, 0], at_y - q[:, 1])
     spin = np.abs((turn[:, None] - turn[None] + np.pi) % (2 * np.pi) - np.pi)
-    fits = (off <= 3 + 0.05 * np.hypot(p[:, 0, None] - p[None, :, 0], p[:, 1, None] - p[None, :, 1])) & (spin < 0.4) & (np.abs(np.log2(scale[:, None] / scale[None])) < 0.5)
+    fits = (off <= 3 + 0.05 * np.hypot(p[:, 0, None] - p[None, :, 0], p[:, 1, None] - p[None, :, 1])) & (spin < 0.4) & (np.abs(np.log2(scale[:, None] / scale[None])) < 0.51)
     best = fits[fits.sum(1).argmax()]
     # matches at one place of several scales count once
     return len(np.unique(np.rint(p[best][:, :2] / 2), axis=0))
 
 
-def described(images: DataFrame, *, id_col: str, image_col: str, most: int, scales: int) -> DataFrame:
+def described(images: DataFrame, *, id_col: str, image_col: str) -> DataFrame:
     """(id, content, corners): a hash of the pixels and the corners of each image."""
     bounded_batches(images.sparkSession, 256)
 
     def work(batches):
         for batch in batches:
-            names, rows = [], []
-            for raw in batch.column(1).to_pylist():
+            names, rows, held, sizes = [], [b""] * batch.num_rows, 0, {}
+
+            def flush(rows=rows, sizes=sizes):
+                for group in sizes.values():
+                    at, stack = zip(*group, strict=True)
+                    for i, found in zip(at, stack_corners(np.stack(stack)), strict=True):
+                        rows[i] = found.tobytes()
+                sizes.clear()
+
+            for i, raw in enumerate(batch.column(1)):
+                raw = raw.as_py()
                 pixels = decode(raw)
                 if pixels is None:
                     names.append(hashlib.sha256(b"?" + (raw or b"")).hexdigest())
-                    rows.append(b"")
-                else:
-                    names.append(hashlib.sha256(repr(pixels.shape).encode() + pixels.tobytes()).hexdigest())
-                    rows.append(corners(pixels, most, scales).tobytes())
+                    continue
+                names.append(hashlib.sha256(repr(pixels.shape).encode() + pixels.tobytes()).hexdigest())
+                sizes.setdefault(pixels.shape, []).append((i, pixels))
+                held += pixels.size
+                if held > TOGETHER:
+                    flush()
+                    held = 0
+            flush()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(rows, pa.binary())], names=["id", "content", "corners"])
 
     return images.select(F.col(id_col).cast("long").alias("id"), image_col).mapInArrow(work, "id long, content string, corners binary")
 
 
-#: Words of 32 bits in a key, and where the tables' keys begin (cyclically).
-KEY_WORDS, TABLES = 5, (0, 2, 4, 6)
-
-
 def table_keys(rows: np.ndarray) -> np.ndarray:
     """Distinct keys of all corners in all tables, hashed to 64 bits together with the table's number."""
-    words = np.ascontiguousarray(rows[:, :32]).view(np.uint32).astype(np.uint64)
+    bits = np.unpackbits(rows[:, :32], axis=1)
     out = []
-    for t in TABLES:
+    for t, chosen in enumerate(KEYS):
+        words = np.ascontiguousarray(np.packbits(np.pad(bits[:, chosen], ((0, 0), (0, -len(chosen) % 64))), axis=1)).view(np.uint64)
         h = np.full(len(rows), t + 1, np.uint64)
-        for k in range(KEY_WORDS):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[:, (t + k) % 8])
+        for k in range(words.shape[1]):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[:, k])
         out.append(h)
     return np.unique(np.concatenate(out))
 
@@ -244,22 +321,52 @@ def _consenting(batches, least: int):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def image_copies(images: DataFrame, *, id_col: str = "image_id", image_col: str = "image", most: int = 24, scales: int = 3, least: int = 5) -> DataFrame:
+#: Rounds with one hub for each list before the pairs left are joined.
+HUB_ROUNDS = 2
+
+
+def linked(posts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """(node, component) of the images posted (node, token), by consensus of those that share a key; reps: (node, payload)."""
+    comp = materialise(posts.select("node", F.col("node").alias("component")).distinct(), "components")
+    for turn in range(HUB_ROUNDS + 1):
+        members = posts.join(comp, "node")
+        if turn < HUB_ROUNDS:
+            # one order for all lists, so that two images that share many have the same hub in most of them
+            order = F.xxhash64("node", F.lit(turn))
+            hubs = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by(F.struct(F.col("node").alias("hub"), F.col("component").alias("hub_component")), order).alias("h")).filter("lo <> hi").select("token", "h.*")
+            pairs = members.join(hubs, "token").filter("component <> hub_component").select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
+        else:
+            pairs = within_lists(members, ["token"])
+        fresh = materialise(pairs.distinct(), "pairs")
+        if fresh.isEmpty():
+            continue
+        found = materialise(by_hub(in_blocks(fresh), reps).mapInArrow(lambda it: _consenting(it, least), "u long, v long"), "links")
+        comp = contracted(comp, found)
+    return comp
+
+
+def image_copies(images: DataFrame, *, id_col: str = "image_id", image_col: str = "image", least: int = 5) -> DataFrame:
     """(image_id, class_id, component_id, n_corners): images with equal pixels share class_id, copies share component_id."""
-    rows = materialise(described(images, id_col=id_col, image_col=image_col, most=most, scales=scales), "described")
-    lowest = F.coalesce("id", F.lit(-(2**63)))
-    classes = rows.groupBy("content").agg(F.min(lowest).alias("node"))
+    found = described(images, id_col=id_col, image_col=image_col)
+    rows = materialise(found.select("id", F.coalesce("id", F.lit(LOWEST)).alias("own"), F.xxhash64("content").alias("node"), "corners"), "described")
+    classes = rows.groupBy("node").agg(F.min("own").alias("class"), F.any_value("corners").alias("payload"), F.count("*").alias("rows"))
     classes = materialise(classes, "classes")
-    reps = rows.withColumn("own", lowest).join(classes, "content").filter(F.col("own") == F.col("node")).select("node", "corners").dropDuplicates(["node"])
-    reps = materialise(reps.filter(F.length("corners") > 0).select("node", F.col("corners").alias("payload")), "representatives")
-    posts = reps.mapInArrow(_tokens, "node long, token long")
+    reps = classes.filter(F.length("payload") > 0).select("node", "payload")
+    posts = materialise(reps.mapInArrow(_tokens, "node long, token long"), "posted")
     met = posts.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
     posts = materialise(posts.join(met, "token"), "postings")
-    linked = hub_links(posts, lambda pairs: by_hub(in_blocks(pairs), reps).mapInArrow(lambda it: _consenting(it, least), "u long, v long"))
-    whole = components(linked).withColumnRenamed("node", "member")
-    named = classes.join(whole, F.col("node") == F.col("member"), "left").select("content", "node", F.coalesce("component", "node").alias("component"))
-    blank = lambda c: F.when(F.col(c) != -(2**63), F.col(c))
-    return rows.join(named, "content").select(F.col("id").alias("image_id"), blank("node").alias("class_id"), blank("component").alias("component_id"), (F.length("corners") / CORNER).cast("long").alias("n_corners"))
+    comp = classes.select("node", "class", "rows").join(linked(posts, reps, least), "node", "left").select("node", "class", "rows", F.coalesce("component", "node").alias("component"))
+    # rows of a repeated id link their classes
+    ids = materialise(rows.groupBy("own").agg(F.min("node").alias("u"), F.max("node").alias("hi")).filter("u <> hi").select("own", "u"), "ids")
+    if not ids.isEmpty():
+        several = rows.select("own", "node").distinct().join(small_side(ids), "own").select("u", F.col("node").alias("v")).filter("u <> v")
+        comp = contracted(materialise(comp, "components"), materialise(several, "several"))
+    comp = materialise(comp, "components")
+    # an image that is alone in its class and component is its own first
+    lowest = comp.groupBy("component").agg(F.min("class").alias("found"), F.sum("rows").alias("of")).filter("of > 1").select("component", "found")
+    named = materialise(comp.join(small_side(materialise(lowest, "lowest")), "component").select("node", "class", "found"), "named")
+    blank = lambda c: F.when(F.coalesce(c, F.col("own")) != LOWEST, F.coalesce(c, F.col("own")))
+    return rows.join(small_side(named), "node", "left").select(F.col("id").alias("image_id"), blank(F.col("class")).alias("class_id"), blank(F.col("found")).alias("component_id"), (F.length("corners") / CORNER).cast("long").alias("n_corners"))
 
 
 def rendered(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", side: int = 64, copy_every: int = 20) -> DataFrame:
