@@ -63,9 +63,9 @@ def materialise_at(df: DataFrame, path: str, **options: str) -> DataFrame:
 BROADCAST_ROWS = 200_000
 
 
-def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+def small_side(df: DataFrame, rows: int | None = None, limit: int | None = None) -> DataFrame:
     """df, to be broadcast if a count shows that it is small. df should be a written table of short rows."""
-    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:

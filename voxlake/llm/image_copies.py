@@ -321,6 +321,8 @@ def _consenting(batches, least: int):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
+#: Keys (8 bytes each) that are sent to all executors at most.
+MET_KEYS = 1_000_000
 #: Rounds with one hub for each list before the pairs left are joined.
 HUB_ROUNDS = 2
 
@@ -334,7 +336,7 @@ def linked(posts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
             # one order for all lists, so that two images that share many have the same hub in most of them
             order = F.xxhash64("node", F.lit(turn))
             hubs = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by(F.struct(F.col("node").alias("hub"), F.col("component").alias("hub_component")), order).alias("h")).filter("lo <> hi").select("token", "h.*")
-            pairs = members.join(hubs, "token").filter("component <> hub_component").select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
+            pairs = members.join(small_side(materialise(hubs, "hubs")), "token").filter("component <> hub_component").select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
         else:
             pairs = within_lists(members, ["token"])
         fresh = materialise(pairs.distinct(), "pairs")
@@ -352,9 +354,10 @@ def image_copies(images: DataFrame, *, id_col: str = "image_id", image_col: str
     classes = rows.groupBy("node").agg(F.min("own").alias("class"), F.any_value("corners").alias("payload"), F.count("*").alias("rows"))
     classes = materialise(classes, "classes")
     reps = classes.filter(F.length("payload") > 0).select("node", "payload")
-    posts = materialise(reps.mapInArrow(_tokens, "node long, token long"), "posted")
-    met = posts.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    posts = materialise(posts.join(met, "token"), "postings")
+    # nearly all keys stand alone: they are made twice and never stored, and only counts are shuffled while those met are few
+    posts = reps.mapInArrow(_tokens, "node long, token long")
+    met = materialise(posts.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token"), "met")
+    posts = materialise(posts.join(small_side(met, limit=MET_KEYS), "token"), "postings")
     comp = classes.select("node", "class", "rows").join(linked(posts, reps, least), "node", "left").select("node", "class", "rows", F.coalesce("component", "node").alias("component"))
     # rows of a repeated id link their classes
     ids = materialise(rows.groupBy("own").agg(F.min("node").alias("u"), F.max("node").alias("hi")).filter("u <> hi").select("own", "u"), "ids")
