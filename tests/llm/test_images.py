@@ -50,13 +50,13 @@ EDITS = {
 
 
 def recall(side, n, edit):
-    """Shares of edited pictures that the consensus links, and that share a key as well."""
+    """Shares of edited pictures that the consensus links, and that share enough keys as well."""
     linked = found = 0
     for p in pictures(n, side):
         a, b = ic.corners(p), ic.corners(np.rint(np.clip(EDITS[edit](p), 0, 255)).astype(np.float32))
         agreed = ic.consensus(a, b) >= 5
         linked += agreed
-        found += agreed and bool(np.isin(ic.table_keys(a), ic.table_keys(b)).any())
+        found += agreed and int(np.isin(ic.table_keys(a), ic.table_keys(b)).sum()) >= ic.VOTES
     return linked / n, found / n
 
 

@@ -6,9 +6,9 @@
    a fixed pattern of 256 point pairs, read between pixels; the slope in that direction is taken out, and which point of
    a pair is darker gives one bit.
 3. Hamming tables: TABLES keys of KEY_BITS drawn bits each. Descriptors that differ in a tenth of their bits share a key
-   of 68 bits with a chance of 1 in 1300 in each table, and the dozens of corners of a copy, most of which differ less,
+   of 64 bits with a chance of 1 in 850 in each table, and the dozens of corners of a copy, most of which differ less,
    share some (the README has the measured recall). Images are posted under their keys, and every list joins its members
-   to one hub.
+   to one hub. Keys shared by two images are votes; they are counted before any corners move, and VOTES are asked for.
 4. Geometric consensus: of the mutual best matches between two images, those that agree on one turn, scale and shift are
    counted; `least` of them make a link. Linked classes form components: an image and its crops and edits. Lists whose
    members are in several components go on with other hubs; in the end the members outside a list's largest component
@@ -126,7 +126,7 @@ _GRID = np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1].astype(np.float32)
 #: Weights of a patch around a corner, for its direction.
 _WEIGHT = np.where((_GRID**2).sum(0) <= RADIUS**2, np.exp(-(_GRID**2).sum(0) / (RADIUS**2 / 2)), 0).astype(np.float32)
 #: Bits of each table's keys.
-TABLES, KEY_BITS = 7, 68
+TABLES, KEY_BITS = 7, 64
 KEYS = np.stack([_draw.permutation(PAIRS)[:KEY_BITS] for _ in range(TABLES)])
 
 
@@ -321,6 +321,8 @@ def _consenting(batches, least: int):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
+#: Keys that two images must share before their corners are compared.
+VOTES = 2
 #: Keys (8 bytes each) that are sent to all executors at most.
 MET_KEYS = 1_000_000
 #: Rounds with one hub for each list before the pairs left are joined.
@@ -339,7 +341,7 @@ def linked(posts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
             pairs = members.join(small_side(materialise(hubs, "hubs")), "token").filter("component <> hub_component").select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
         else:
             pairs = within_lists(members, ["token"])
-        fresh = materialise(pairs.distinct(), "pairs")
+        fresh = materialise(pairs.groupBy("hub", "node").agg(F.count("*").alias("votes")).filter(F.col("votes") >= VOTES).select("hub", "node"), "pairs")
         if fresh.isEmpty():
             continue
         found = materialise(by_hub(in_blocks(fresh), reps).mapInArrow(lambda it: _consenting(it, least), "u long, v long"), "links")
