@@ -53,7 +53,7 @@ def contracted(comp: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def within_lists(members: DataFrame, keys: list[str], extra: list[str] = (), condition: Column | None = None) -> DataFrame:
-    """Pairs (hub, node) of one list that are in different components, hub < node; members: (*keys, node, component, *extra).
+    """Pairs (hub, node) of one list that are in different components, hub < node, one row for each list; members: (*keys, node, component, *extra).
 
     One of a pair is outside the list's largest component, so only members outside it are joined with all. condition may
     use the extra columns of both, those of the other one as hub_...
@@ -62,7 +62,8 @@ def within_lists(members: DataFrame, keys: list[str], extra: list[str] = (), con
     major = sizes.groupBy(*keys).agg(F.max_by("component", F.struct("k", "component")).alias("major"), F.count("*").alias("kinds")).filter("kinds > 1").select(*keys, "major")
     mixed = materialise(members.select(*keys, "node", "component", *extra).join(small_side(materialise(major, "major")), keys), "mixed")
     minor = mixed.filter("component <> major").select(*keys, F.col("node").alias("hub"), F.col("component").alias("hub_component"), *[F.col(c).alias(f"hub_{c}") for c in extra])
-    apart = (F.col("hub") != F.col("node")) & (F.col("component") != F.col("hub_component"))
+    # two members outside meet once
+    apart = (F.col("component") != F.col("hub_component")) & ((F.col("component") == F.col("major")) | (F.col("hub") < F.col("node")))
     pairs = mixed.join(minor, keys).filter(apart if condition is None else apart & condition)
     return pairs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
 
