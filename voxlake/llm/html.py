@@ -9,14 +9,15 @@ keeps the paths and texts of the constant leaves.
 Every page is then parsed whole. Elements that never hold an article's text (navigation, page headers and footers,
 sidebars, forms, scripts, notices, adverts, comments: by tag, role, or words of class and id) are left out, and so are
 template nodes of the host, inside the article element and outside it. If the page has an article or main element, its
-blocks are the text; otherwise the body's remaining slots are.
+blocks are the text (of several articles, teasers, mostly links, are left out); otherwise the body's remaining slots are.
 
 Character references are decoded; white space inside a block becomes one space; blocks are joined by one space in page
-order. Nothing is cut off.
+order. Nothing is cut off, and elements may nest to any depth.
 
 Defined results: null or empty html gives an empty text; unclosed and stray tags are read as browsers do in the simple
 cases (p, li, td, ... close each other); a page whose host has no other page is read without a wrapper; null urls share
-one host; repeated rows are read one by one; extra columns are ignored.
+one host; repeated rows are read one by one; a very long page is one row's tree, and its lists of children are aligned whole;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import sys
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
@@ -37,8 +39,6 @@ from voxlake.llm.common import bounded_batches, materialise
 
 #: The fewest pages that make a wrapper.
 FEWEST = 3
-#: Elements nested deeper than this are read as part of the element around them.
-DEPTH = 200
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -55,6 +55,11 @@ MARKS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer header masthead topbar toolbar share sharing social related recommended recommendations trending "
     "comment comments respond reply replies disqus discussion feedback pagination pager toc login search hidden skip print copyright legal disclaimer paywall".split()
 )
+#: Words that may stand beside a mark in one name (ad-slot, site-footer) without changing what it says.
+BESIDE = frozenset(
+    "a area bar block body reader readers user users visitor visitors bottom box center class col column container content first group hidden holder inner item items js large last left link links list main mobile outer page placeholder post primary right row section "
+    "secondary site slot small space spot text top unit wrap wrapper zone".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^<>]*+)>", re.S)
@@ -64,6 +69,10 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+#: Trees are walked by recursion in Python alone, which takes memory and no C stack.
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000_000))
+
+
 @dataclass(slots=True)
 class Node:
     tag: str
@@ -73,6 +82,14 @@ class Node:
     shape: tuple | None = None
 
 
+@lru_cache(4096)
+def marked(name: str) -> bool:
+    """Does one class name or id say that an element is not the article? It must say nothing else: notice-board, feature-search
+    and comment-on-policy are names of content."""
+    parts = [p for x in _PARTS.split(_CAMEL.sub("-", name).lower()) if (p := x.strip("0123456789"))]
+    return not MARKS.isdisjoint(parts) and all(x in MARKS or x in BESIDE for x in parts)
+
+
 @lru_cache(4096)
 def attributes(raw: str) -> tuple[str, bool]:
     """(class and id, is the element no part of an article) from a tag's attributes."""
@@ -81,7 +98,7 @@ def attributes(raw: str) -> tuple[str, bool]:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
             mark.append(value.strip())
-            boiler |= not MARKS.isdisjoint(_PARTS.split(_CAMEL.sub("-", value).lower()))
+            boiler |= any(map(marked, value.split()))
         elif name == "role":
             boiler |= value.strip().lower() in ROLES
         elif name == "hidden":
@@ -96,7 +113,7 @@ def attributes(raw: str) -> tuple[str, bool]:
 def parse(source: str) -> Node:
     """The page's tree; the root has no tag."""
     root = Node("")
-    stack, at, skipped = [root], 0, {}
+    stack, at = [root], 0
     for m in _TAG.finditer(source):
         if m.start() < at:
             continue
@@ -109,9 +126,6 @@ def parse(source: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            if skipped.get(tag):
-                skipped[tag] -= 1
-                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
@@ -129,9 +143,6 @@ def parse(source: str) -> Node:
                     break
         mark, boiler = attributes(raw) if raw else ("", False)
         node = Node(tag, mark, boiler)
-        if len(stack) > DEPTH and tag not in VOID and tag not in RAW:
-            skipped[tag] = skipped.get(tag, 0) + 1
-            continue
         stack[-1].children.append(node)
         if tag in VOID or raw.endswith("/"):
             continue
@@ -191,7 +202,14 @@ def _shape(n: Node) -> tuple[int, int]:
 
 
 def _has_text(n: Node) -> bool:
-    return any(c if isinstance(c, str) else _has_text(c) for c in n.children)
+    held = [n]
+    while held:
+        for c in held.pop().children:
+            if not isinstance(c, str):
+                held.append(c)
+            elif c:
+                return True
+    return False
 
 
 def _ends(xs: list, ys: list, kx: list, ky: list) -> tuple[int, int]:
@@ -229,8 +247,9 @@ def _lists(xs: list, ys: list, found: list | None) -> int:
     total = 0
     kx, ky = ([_shape(c)[0] for c in n] for n in (xs, ys))
     head, tail = _ends(xs, ys, kx, ky)
-    pairs = [(i, i) for i in range(head)] + [(len(xs) - 1 - i, len(ys) - 1 - i) for i in range(tail)]
-    total += sum(matching(xs[i], ys[j], found) for i, j in pairs)
+    # no sums over generators: calls that go through C have a small stack of their own
+    for i, j in [(i, i) for i in range(head)] + [(len(xs) - 1 - i, len(ys) - 1 - i) for i in range(tail)]:
+        total += matching(xs[i], ys[j], found)
     xs, ys, kx, ky = xs[head : len(xs) - tail], ys[head : len(ys) - tail], kx[head : len(kx) - tail], ky[head : len(ky) - tail]
     told = [[k if _has_text(c) else None for k, c in zip(ks, n, strict=True)] for ks, n in ((kx, xs), (ky, ys))]
     i = j = 0
@@ -246,7 +265,9 @@ def _between(xs: list, ys: list, found: list | None) -> int:
     """Children without equal texts: those of one form at both ends as they stand, the rest by the table."""
     # from the tails first: what follows the varying part of a page is the template's more often than what precedes it
     tail, head = _ends(xs[::-1], ys[::-1], *([_shape(c)[1] for c in n[::-1]] for n in (xs, ys)))
-    total = sum(matching(xs[i], ys[i], found) for i in range(head)) + sum(matching(xs[-1 - i], ys[-1 - i], found) for i in range(tail))
+    total = 0
+    for i in [*range(head), *range(-tail, 0)]:
+        total += matching(xs[i], ys[i], found)
     xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
     if not xs or not ys:
         return total
@@ -278,11 +299,15 @@ def pruned(node: Node) -> Node:
     return copy
 
 
+def step(above: str, node: Node) -> str:
+    """The path of a node: a digest of the path above, its tag and its marks, so that paths stay short at any depth."""
+    return hashlib.blake2b(f"{above}/{node.tag}.{node.mark}".encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
 def paths(node: Node, above: str = "", out: dict | None = None) -> dict[int, str]:
     """Path of tags and marks of every node."""
     out = {} if out is None else out
-    here = f"{above}/{node.tag}" + (f".{node.mark}" if node.mark else "")
-    out[id(node)] = here
+    here = out[id(node)] = step(above, node)
     for c in node.children:
         if isinstance(c, Node):
             paths(c, here, out)
@@ -343,7 +368,8 @@ def extract(source: str | None, wrapper: frozenset[str] | set[str] = frozenset()
     if not source:
         return ""
     root = parse(source)
-    articles = _find(root, "article", "/") or _find(root, "main", "/")
+    top = step("", root)
+    articles = _whole(_find(root, "article", top)) or _find(root, "main", top)
     blocks: list[str] = []
     held: list[str] = []
 
@@ -354,7 +380,7 @@ def extract(source: str | None, wrapper: frozenset[str] | set[str] = frozenset()
             blocks.append(text)
 
     def walk(n: Node, path: str, inside: bool) -> None:
-        path = f"{path}/{n.tag}" + (f".{n.mark}" if n.mark else "")
+        path = step(path, n)
         if n.tag in DROPPED or (n.boiler and n.tag not in ("html", "body", "article", "main")) or (n.tag == "header" and not inside):
             return
         if wrapper and n.tag not in INLINE:
@@ -388,10 +414,28 @@ def _find(node: Node, tag: str, path: str) -> list[tuple[Node, str]]:
             if c.tag == tag:
                 out.append((c, path))
             elif c.tag not in DROPPED and not (c.boiler and c.tag not in ("html", "body")):
-                out += _find(c, tag, f"{path}/{c.tag}" + (f".{c.mark}" if c.mark else ""))
+                out += _find(c, tag, step(path, c))
     return out
 
 
+def _linked(node: Node, inside: bool = False) -> tuple[int, int]:
+    """Characters of an element's text that stand in links, and all of them."""
+    linked = total = 0
+    inside = inside or node.tag == "a"
+    for c in node.children:
+        a, b = (len(c.strip()) * inside, len(c.strip())) if isinstance(c, str) else _linked(c, inside)
+        linked, total = linked + a, total + b
+    return linked, total
+
+
+def _whole(articles: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """Of several article elements those that are no teasers: at least half of a teaser's text is a link."""
+    if len(articles) < 2:
+        return articles
+    said = [(x, *_linked(x[0])) for x in articles]
+    return [x for x, linked, total in said if 2 * linked < total] or articles
+
+
 def host_of(url):
     """Host of a url column, lower case, without user and port; empty if there is none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
