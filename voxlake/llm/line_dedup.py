@@ -2,12 +2,14 @@
 
 Every run of `window` consecutive lines is hashed (64 and 32 bits together). A window that occurs more than once in the
 whole table keeps its first occurrence, by document id and then by position; the lines that any later occurrence covers
-are removed. Windows are counted with map-side partial aggregation, and only rows of repeated windows meet again, so a
-passage that a third of all documents share costs one row per occurrence and no pairs.
+are removed. One aggregate with map-side combining counts each window and finds its first place; the table of repeated
+windows is then joined back to all windows, sent to all executors where it is short, so a passage that a third of all
+documents share costs one row per occurrence, no pairs, and no task of its own.
 
 Defined results: lines are split at \\n and compared as they are; windows of blank lines only never count; a document
-of fewer than `window` lines, or with null text, is left as it is; rows with the same id and text get the same result
-(the first of them in order is kept by all of them); a null id sorts first; other columns pass through.
+of fewer than `window` lines, or with null text, is left as it is; ids may be of any type with an order; rows with the
+same id and text get the same result (the first of them in order is kept by all of them); a null id sorts first; the
+lines of a very long text are one row's array; other columns pass through, but for n_lines and n_removed.
 """
 
 from __future__ import annotations
@@ -17,12 +19,10 @@ from pyspark.sql import functions as F
 
 from voxlake.llm.common import materialise, row_key, small_side
 
-LOWEST = -(2**63)
-
 
 def windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """(sid, key, at, h, g): hashes of each window of lines and where it starts."""
-    lines = docs.select(F.coalesce(F.col(id_col), F.lit(LOWEST)).alias("sid"), row_key(id_col, text_col).alias("key"), F.split(F.col(text_col), "\n", -1).alias("ls")).filter(F.size("ls") >= window)
+    lines = docs.select(F.col(id_col).alias("sid"), row_key(id_col, text_col).alias("key"), F.split(F.col(text_col), "\n", -1).alias("ls")).filter(F.size("ls") >= window)
     hashed = lines.select("sid", "key", F.transform("ls", lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("g"), F.length(F.trim(x)).alias("n"))).alias("ls"))
     starts = F.sequence(F.lit(0), F.size("ls") - window)
 
@@ -36,10 +36,11 @@ def windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFra
 def later_windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """(sid, key, at) of every occurrence after the first of a repeated window."""
     rows = windows(docs, window, id_col, text_col)
-    repeated = rows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("sid").alias("first_sid")).filter(F.col("n") > 1).drop("n")
-    again = materialise(rows.join(repeated, ["h", "g"]), "repeated")
-    first = again.filter(F.col("sid") == F.col("first_sid")).groupBy("h", "g").agg(F.min(F.struct("key", "at")).alias("first"))
-    return again.join(first, ["h", "g"]).filter((F.col("sid") != F.col("first_sid")) | (F.struct("key", "at") != F.col("first"))).select("sid", "key", "at")
+    place = F.struct(F.col("sid").isNotNull().alias("there"), "sid", "key", "at")
+    repeated = rows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter(F.col("n") > 1).select("h", "g", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at"))
+    repeated = small_side(materialise(repeated, "repeated"))
+    # a row's key is made of its id and text, so key and place tell an occurrence
+    return rows.join(repeated, ["h", "g"]).filter((F.col("key") != F.col("first_key")) | (F.col("at") != F.col("first_at"))).select("sid", "key", "at")
 
 
 def dedup_lines(docs: DataFrame, *, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -54,7 +55,7 @@ def dedup_lines(docs: DataFrame, *, window: int = 3, id_col: str = "doc_id", tex
     covered = small_side(covered, covered.agg(F.sum(1 + F.size("__cut") / 20)).first()[0] or 0)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     base = docs.select(*keep).withColumn("__cut_row", row_key(id_col, text_col))
-    joined = base.join(covered, (F.coalesce(base[id_col], F.lit(LOWEST)) == F.col("__cut_sid")) & (F.col("__cut_row") == F.col("__cut_key")), "left")
+    joined = base.join(covered, base[id_col].eqNullSafe(F.col("__cut_sid")) & (F.col("__cut_row") == F.col("__cut_key")), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     left = F.concat_ws("\n", F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__cut"), lambda i: F.get(lines, i)))
     return joined.select(
