@@ -1,15 +1,17 @@
 """Lexical retrieval packing: windows are filled with documents that share the seed's words.
 
-The input's partitions are cut into shards of about `shard_bytes` of text. Each shard gets an inverted index over token
-ids with BM25 weights; an unused document becomes the seed of a window, its `query_terms` heaviest terms are looked up,
-and the best unused neighbours that fit go in, best first. What is left of the window takes the head of the best
-remaining neighbour, whose tail becomes the next seed. Only the last window of a shard can stay open: it is split into
-sequences whose lengths are powers of two, which need no padding.
+Documents are dealt and sorted by a word of theirs (the one whose hash is least, of all words of four letters or more),
+so documents that share many words tend to lie side by side; a word that very many documents have is split by id. Runs
+of about `shard_bytes` of text are the shards. Each shard gets an inverted index over token ids with BM25 weights; an
+unused document becomes the seed of a window, its `query_terms` heaviest terms are looked up, and the best unused
+neighbours that fit go in, best first. What is left of the window takes the head of the best remaining neighbour, whose
+tail becomes the next seed. Only the last window of a shard can stay open: it is split into sequences whose lengths are
+powers of two, which need no padding.
 
 Documents longer than a window first give off whole windows. Every token stands in exactly one piece.
 
 Defined results: null and empty texts have the end id alone; rows of a repeated id are packed one by one; an empty table
-gives no pieces; other columns are ignored. Sequence ids hold the task, the shard and a counter, so a task that is run
+gives no pieces; equal scores go by place in the shard; a very long text is one row; other columns are ignored. Sequence ids hold the task, the shard and a counter, so a task that is run
 again on another executor gives the same ones.
 """
 
@@ -89,17 +91,18 @@ def pack(docs: list[np.ndarray], window: int, query_terms: int) -> list[list[tup
         used[seed] = True
         if room:
             near = index.neighbours(seed)
+            near = left_over = near[~used[near]]
+            while room:
+                fits = rest[left_over] <= room
+                at = int(fits.argmax()) if len(fits) else 0
+                if not len(fits) or not fits[at]:
+                    break
+                d, left_over = int(left_over[at]), left_over[at + 1 :]
+                pieces.append((d, int(left[d]), int(rest[d])))
+                used[d] = True
+                room -= int(rest[d])
             near = near[~used[near]]
-            first_long = -1
-            for d in near[np.cumsum(np.minimum(rest[near], 1)) <= 4 * window]:
-                if rest[d] <= room:
-                    pieces.append((int(d), int(left[d]), int(rest[d])))
-                    used[d] = True
-                    room -= int(rest[d])
-                    if not room:
-                        break
-                elif first_long < 0:
-                    first_long = int(d)
+            first_long = int(near[0]) if room and len(near) else -1
             # without neighbours that fit: documents in order, and the head of one that does not fit
             at = following
             while room and first_long < 0 and at < len(docs):
@@ -178,4 +181,13 @@ def pack_documents(docs: DataFrame, vocabulary: str, *, end_id: int = 2, window:
         if ids:
             yield from shard()
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(packed, schema)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return dealt(rows).select("doc_id", "text").mapInArrow(packed, schema)
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text) in ranges of a word of theirs, sorted; equal rows are interchangeable."""
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 3)
+    key = F.coalesce(F.array_min(F.transform(words, lambda w: F.xxhash64(w))), F.xxhash64("doc_id"))
+    keyed = rows.withColumn("word", key).withColumn("tie", F.xxhash64("doc_id", "text"))
+    return keyed.repartitionByRange("word", "tie").sortWithinPartitions("word", "tie")
