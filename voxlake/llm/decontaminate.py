@@ -32,14 +32,18 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, SEPARATORS, -1), "")
 
 
-def item_words(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per item text and word: item, part (tells texts of a repeated id apart), at, word, left and right words."""
-    base = (
+def item_texts(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per item text that has words: item, part (tells an item's text from all others), ws, n."""
+    return (
         items.select(F.col(id_col).alias("item"), F.col(text_col).alias("t")).distinct()
-        .select("item", F.xxhash64("t").alias("part"), words_of(F.col("t")).alias("ws"))
-        .filter(F.size("ws") > 0)
+        .select("item", F.xxhash64("item", "t").alias("part"), words_of(F.col("t")).alias("ws"))
+        .filter(F.size("ws") > 0).withColumn("n", F.size("ws"))
     )
-    return base.select("item", "part", "ws", F.size("ws").alias("n"), F.posexplode("ws").alias("at", "word"))
+
+
+def item_words(texts: DataFrame) -> DataFrame:
+    """One row per item text and word: item, part, n, at, word."""
+    return texts.select("item", "part", "n", F.posexplode("ws").alias("at", "word"))
 
 
 def around(words: str, at: str, reach: int) -> tuple[Column, Column]:
@@ -67,17 +71,19 @@ def term_counts(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
+def anchors(texts: DataFrame, items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     """Positions of item words that are the rarest of some window all of whose words occur in the training table."""
     known = items.join(counts, items.word == counts.term, "left").withColumn("cnt", F.coalesce("cnt", F.lit(0)))
     ahead = W.partitionBy("item", "part").orderBy("at").rowsBetween(0, window - 1)
     rarest = known.withColumn("best", F.min(F.struct("cnt", "at")).over(ahead))
     chosen = (
         rarest.filter((F.col("at") <= F.greatest(F.col("n") - window, F.lit(0))) & (F.col("best.cnt") > 0))
-        .select("item", "part", "ws", "n", F.col("best.at").alias("at")).distinct()
+        .groupBy("part").agg(F.collect_set("best.at").alias("ats"))
     )
+    # the words of a text meet its positions once, and are cut before the rows are spread
+    placed = texts.join(chosen, "part").select("item", "ws", "n", F.explode("ats").alias("at"))
     left, right = around("ws", "at", window - 1)
-    return chosen.select(
+    return placed.select(
         "item", F.element_at("ws", F.col("at") + 1).alias("term"), F.least("n", F.lit(window)).alias("need"),
         left.alias("item_left"), right.alias("item_right"),
     ).withColumn("h", F.xxhash64("term"))
@@ -112,9 +118,10 @@ def postings(docs: DataFrame, terms: DataFrame, *, reach: int, id_col: str, text
 
 def phrase_matches(docs: DataFrame, items: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Exact matches: id, key, item, and first and last hit word position, one row per run of matching words."""
-    rows = materialise(item_words(items, item_id, item_text), "item_words")
-    counts = materialise(term_counts(docs, rows.select("word").distinct(), text_col), "term_counts")
-    wanted = materialise(anchors(rows, counts, window), "anchors")
+    texts = materialise(item_texts(items, item_id, item_text), "item_texts")
+    rows = item_words(texts)
+    counts = materialise(term_counts(docs, materialise(rows.select("word").distinct(), "terms"), text_col), "term_counts")
+    wanted = materialise(anchors(texts, rows, counts, window), "anchors")
     index = postings(docs, wanted.select("term").distinct(), reach=window - 1, id_col=id_col, text_col=text_col)
     hits = index.join(small_side(wanted), ["h", "term"])
     runs = hits.select(
@@ -156,8 +163,8 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 10, id_col
 def proximity_matches(docs: DataFrame, items: DataFrame, *, terms: int = 3, span: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item, first) where the `terms` rarest distinct words of an item stand, in any order, within `span` words
     that begin at position `first` with one of them. Items with fewer distinct words, or whose words do not occur, give none."""
-    rows = item_words(items, item_id, item_text)
-    counts = materialise(term_counts(docs, rows.select("word").distinct(), text_col), "term_counts")
+    rows = item_words(item_texts(items, item_id, item_text))
+    counts = materialise(term_counts(docs, materialise(rows.select("word").distinct(), "terms"), text_col), "term_counts")
     rank = W.partitionBy("item", "part").orderBy("cnt", "term")
     rare = (
         rows.select("item", "part", "word").distinct().join(counts, F.col("word") == F.col("term"))
