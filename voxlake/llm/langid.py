@@ -179,6 +179,10 @@ class Scorer:
         return out
 
 
+#: Characters of a text that the sample takes together.
+BLOCK_CHARS = 20_000
+
+
 def posterior(entropy: np.ndarray, temperature: float) -> np.ndarray:
     x = -(entropy - np.nanmin(entropy, axis=1, keepdims=True)) * temperature
     e = np.exp(np.nan_to_num(x, nan=-np.inf))
@@ -203,7 +207,10 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id
     known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("h")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = known.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).withColumn("share", F.least(F.lit(1.0), F.lit(float(sample_chars)) / F.greatest("n", F.lit(1))))
     # one row for each language; a tenth of the sample is kept for calibration
-    picked = known.join(F.broadcast(sizes), "lang").filter(F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    # blocks of long texts are drawn, so that a language of a few very long texts gets its share as well
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.length("text") / BLOCK_CHARS), F.lit(1)) - 1), lambda i: F.struct(F.xxhash64("h", i).alias("h"), F.substring("text", i * BLOCK_CHARS + 1, F.lit(BLOCK_CHARS)).alias("text")))
+    parts = known.select("lang", F.explode(blocks).alias("b")).select("lang", "b.*")
+    picked = parts.join(F.broadcast(sizes), "lang").filter(F.shiftrightunsigned("h", 11) < (F.col("share") * float(2**53)).cast("long"))
     held = F.pmod(F.shiftright("h", 24), F.lit(10)) == 0
     fitted = picked.filter(~held | (F.col("n") < 20_000)).groupBy("lang").applyInArrow(lambda key, part: _fit_group(key, part, order), "lang string, parts array<binary>").collect()
     by_lang = {}

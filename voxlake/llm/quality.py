@@ -188,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None,
     if not total:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0))
     share = min(1.0, max_fit / total)
-    part = known.filter(F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1_000_000)) < round(share * 1_000_000)).select(F.col(id_col).alias("label_id"), "y")
+    part = known.filter(F.shiftrightunsigned(F.xxhash64(id_col, F.lit("fit")), 11) < int(share * 2**53)).select(F.col(id_col).alias("label_id"), "y")
     # the sample is bounded by max_fit, so its ids may be broadcast
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(part), F.col("id") == F.col("label_id")).select("y", "text")
     got = rows.mapInArrow(_feature_rows, "y double, x array<double>").toArrow()
