@@ -19,10 +19,12 @@ _written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a temporary one of our own."""
+    """The folder of spark.checkpoint.dir; where it is unset and all runs in one process (tests), a temporary one of our own."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
+    if not (spark.conf.get("spark.master", None) or spark.sparkContext.master).startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="voxlake-"))
         atexit.register(shutil.rmtree, _own[0], True)
@@ -59,6 +61,14 @@ def materialise_at(df: DataFrame, path: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str, mark: int) -> DataFrame:
+    """Write df as an operator's result and delete the scratch tables written since the mark."""
+    path = scratch_path(df.sparkSession, name)
+    out = materialise_at(df, path)
+    sweep(df.sparkSession, mark, keep=path)
+    return out
+
+
 #: A table of at most so many rows is sent to all executors; beyond it, both sides of a join are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -68,12 +78,19 @@ def small_side(df: DataFrame, rows: int | None = None, limit: int | None = None)
     return F.broadcast(df) if (df.count() if rows is None else rows) <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
+#: Bytes of an Arrow batch: one batch holds at most so many, or one row.
+BATCH_BYTES = 16 << 20
+
+
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Lower (never raise) the number of rows in an Arrow batch, so that a batch of long texts stays small."""
+    """Lower (never raise) the rows and bytes of an Arrow batch, so that a batch of long texts stays small.
+
+    Spark reads these settings when a plan runs, which is after an operator has returned it, so they stay set in the session.
+    """
     reach_workers(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, rows)
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, most)
 
 
 def row_key(id_col: str, text_col: str):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import bounded_batches, materialise, small_side
+from voxlake.llm.common import bounded_batches, materialise, scratch_mark, settled, small_side
 from voxlake.llm.graph import by_hub, contracted, in_blocks, within_lists
 from voxlake.llm.shingles import mix
 
@@ -351,6 +351,7 @@ def linked(posts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
 
 def image_copies(images: DataFrame, *, id_col: str = "image_id", image_col: str = "image", least: int = 5) -> DataFrame:
     """(image_id, class_id, component_id, n_corners): images with equal pixels share class_id, copies share component_id."""
+    mark = scratch_mark()
     found = described(images, id_col=id_col, image_col=image_col)
     rows = materialise(found.select("id", F.coalesce("id", F.lit(LOWEST)).alias("own"), F.xxhash64("content").alias("node"), "corners"), "described")
     classes = rows.groupBy("node").agg(F.min("own").alias("class"), F.any_value("corners").alias("payload"), F.count("*").alias("rows"))
@@ -371,7 +372,8 @@ def image_copies(images: DataFrame, *, id_col: str = "image_id", image_col: str
     lowest = comp.groupBy("component").agg(F.min("class").alias("found"), F.sum("rows").alias("of")).filter("of > 1").select("component", "found")
     named = materialise(comp.join(small_side(materialise(lowest, "lowest")), "component").select("node", "class", "found"), "named")
     blank = lambda c: F.when(F.coalesce(c, F.col("own")) != LOWEST, F.coalesce(c, F.col("own")))
-    return rows.join(small_side(named), "node", "left").select(F.col("id").alias("image_id"), blank(F.col("class")).alias("class_id"), blank(F.col("found")).alias("component_id"), (F.length("corners") / CORNER).cast("long").alias("n_corners"))
+    out = rows.join(small_side(named), "node", "left").select(F.col("id").alias("image_id"), blank(F.col("class")).alias("class_id"), blank(F.col("found")).alias("component_id"), (F.length("corners") / CORNER).cast("long").alias("n_corners"))
+    return settled(out, "image_copies", mark)
 
 
 def rendered(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", side: int = 64, copy_every: int = 20) -> DataFrame:

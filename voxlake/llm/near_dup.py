@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import bounded_batches, materialise, small_side, spans, text_buffer
+from voxlake.llm.common import bounded_batches, materialise, scratch_mark, settled, small_side, spans, text_buffer
 from voxlake.llm.graph import by_hub, contracted, hub_rows, in_blocks, within_lists
 from voxlake.llm.shingles import mix, shingle_sets, signatures
 
@@ -159,15 +159,26 @@ def _differences(batches):
     for batch in batches:
         own, raw = batch.column(2).to_numpy(zero_copy_only=False), batch.column(4)
         a, b = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+        held, size = [], 0
         for i in range(batch.num_rows):
             x = np.frombuffer(raw[i].as_buffer(), np.int64)
             if own[i] == 0:
                 hub = x.copy()
                 continue
             apart = np.setxor1d(x, hub, assume_unique=True)
-            for k in range(0, max(len(apart), 1), 1 << 16):
-                part = apart[k : k + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), v, np.int64)) for v in (a[i], b[i])] + [pa.array(part), *(pa.array(np.full(len(part), v, np.int64)) for v in (len(apart), len(x)))], names=["hub", "node", "x", "d", "n"])
+            held.append((a[i], b[i], apart, len(x)))
+            size += len(apart)
+            if size >= 1 << 17:
+                yield _difference_rows(held)
+                held, size = [], 0
+        yield _difference_rows(held)
+
+
+def _difference_rows(held: list) -> pa.RecordBatch:
+    count = [len(x) for _, _, x, _ in held]
+    one = lambda values: pa.array(np.repeat(np.array(values, np.int64), count))
+    x = np.concatenate([x for _, _, x, _ in held]) if held else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([one([h[0] for h in held]), one([h[1] for h in held]), pa.array(x), one(count), one([h[3] for h in held])], names=["hub", "node", "x", "d", "n"])
 
 
 def shared_differences(groups: DataFrame, comp: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -259,6 +270,7 @@ def linked(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], *, width: i
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 85, coordinates: int = 48, matches: int = 26) -> DataFrame:
     """docs' ids with n_shingles, component_id (the least id reachable over links) and kept (first of its component)."""
+    mark = scratch_mark()
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     doc_node = F.coalesce("doc_id", F.lit(LOWEST)).alias("doc_node")
     base = base.withColumn("row", F.xxhash64(doc_node, "text"))
@@ -289,9 +301,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     lowest = comp.groupBy("component").agg(F.min("doc_node").alias("found"), F.sum("rows").alias("of")).filter("of > 1").select("component", "found")
     named = materialise(comp.join(small_side(materialise(lowest, "lowest")), "component").select("node", "found"), "named")
     out = rows.select("doc_id", "doc_node", "n_shingles", "node").join(small_side(named), "node", "left").withColumn("component", F.coalesce("found", "doc_node"))
-    return out.select(
-        "doc_id", "n_shingles", F.when(F.col("component") != LOWEST, F.col("component")).alias("component_id"), (F.col("component") == F.col("doc_node")).alias("kept")
-    )
+    out = out.select("doc_id", "n_shingles", F.when(F.col("component") != LOWEST, F.col("component")).alias("component_id"), (F.col("component") == F.col("doc_node")).alias("kept"))
+    return settled(out, "near_duplicates", mark)
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
