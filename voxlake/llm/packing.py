@@ -1,6 +1,6 @@
 """Lexical retrieval packing: windows are filled with documents that share the seed's words.
 
-Documents are dealt and sorted by a word of theirs (the one whose hash is least, of all words of four letters or more),
+Documents are dealt and sorted by a word of theirs (the one whose hash is least, of all between blanks with five bytes or more),
 so documents that share many words tend to lie side by side; a word that very many documents have is split by id. Runs
 of about `shard_bytes` of text are the shards. Each shard gets an inverted index over token ids with BM25 weights; an
 unused document becomes the seed of a window, its `query_terms` heaviest terms are looked up, and the best unused
@@ -187,7 +187,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, *, end_id: int = 2, window:
 
 def dealt(rows: DataFrame) -> DataFrame:
     """rows (doc_id, text) in ranges of a word of theirs, sorted; equal rows are interchangeable."""
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 3)
+    words = F.filter(F.split("text", " "), lambda w: F.octet_length(w) > 4)
     key = F.coalesce(F.array_min(F.transform(words, lambda w: F.xxhash64(w))), F.xxhash64("doc_id"))
     keyed = rows.withColumn("word", key).withColumn("tie", F.xxhash64("doc_id", "text"))
     return keyed.repartitionByRange("word", "tie").sortWithinPartitions("word", "tie")
