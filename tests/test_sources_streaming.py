@@ -149,3 +149,31 @@ def test_panel_page_and_its_answers(spark):
     assert page.count("<section>") == 2 and "answers.csv" in page and "\n" not in page
     said = spark.createDataFrame([("r", "g", "intelligibility", "MOS", "1", "4"), ("r", "g", "naturalness", "MOS", "1", "5"), ("r", "g", "transcript", "SUS", "2", "a b")], "rater string, `group` string, field string, part string, item string, value string")
     assert [tuple(r)[2:] for r in K.wide_answers(said).orderBy("item").collect()] == [("MOS", "1", "4", "5", None), ("SUS", "2", None, None, "a b")]
+
+
+def test_manifest_parts_begin_with_a_mark(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 'he said "x", then', 1.5), ("b", None, None)], "clip_id string, text string, duration double").coalesce(1)
+    K.export_manifest(rows, str(tmp_path / "m"))
+    part = next((tmp_path / "m").glob("part-*")).read_bytes().decode("utf-8-sig")
+    assert part.splitlines() == ["clip_id,text,duration", 'a,"he said ""x"", then",1.5', "b,,"]
+    assert next((tmp_path / "m").glob("part-*")).read_bytes().startswith(b"\xef\xbb\xbf")
+
+
+def test_caches_keep_episodes_and_cuts_apart(spark, tmp_path):
+    for episode, text in (("e", "[1]"), ("f", "[2]"), ("g", "[2")):
+        write(tmp_path / f"c/{episode}/chunk_0001.json", text)
+    assert sorted((r.episode, r.chunk, r.reply) for r in S.read_chunk_cache(spark, str(tmp_path / "c")).collect()) == [("e", 1, "[1]"), ("f", 1, "[2]")]
+    assert [(r.episode, r.chunk) for r in S.broken_chunks(spark, str(tmp_path / "c")).collect()] == [("g", 1)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.wav").write_bytes(wav(np.linspace(-0.5, 0.5, 16000)))
+    root, cache = str(tmp_path / "in"), str(tmp_path / "cache")
+    assert [len(r.samples) for r in S.cached_audio(spark, root, cache).collect()] == [16000]
+    assert [len(r.samples) for r in S.cached_audio(spark, root, cache, offset=0.25, duration=0.5).collect()] == [8000]
+    (tmp_path / "in/y.wav").write_bytes(wav(np.zeros(8000)))
+    assert sorted(len(r.samples) for r in S.cached_audio(spark, root, cache).collect()) == [8000, 16000]
+
+
+def test_report_counts_splits_rates_and_sources(spark):
+    clips = spark.createDataFrame([("a", 2.0, False, 16000, "roman"), ("a", 3.0, True, 16000, "script"), ("b", 4.0, False, None, "roman")], "speaker string, duration double, is_eval boolean, sample_rate int, text_source string")
+    report = json.loads(K.prepare_report(clips, spark.createDataFrame([], "drop_reason string, n long")).first().value)
+    assert (report["train_clips"], report["eval_clips"]) == (2, 1) and report["source_sample_rates"] == {"16000": 2} and report["text_sources"] == {"roman": 2, "script": 1} and report["dropped"] == {}

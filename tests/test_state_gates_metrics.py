@@ -82,9 +82,25 @@ def test_statistics(spark):
 
 def test_positions(spark):
     df = spark.range(1, 41).selectExpr("id AS x")
-    row = df.agg(M.upper_median(F.col("x")).alias("m"), M.p95_of_n(F.col("x")).alias("p"), M.p95_of_last(F.col("x")).alias("q")).first()
+    row = M.percentiles(df, [], "x", {"m": M.upper_median, "p": M.p95_of_n, "q": M.p95_of_last}).first()
     values = list(range(1, 41))
     assert tuple(row) == (values[20], values[int(0.95 * 40)], values[int(0.95 * 39)])
+    rows = [("a", v) for v in (3, 1, 1, 2, None)] + [("b", 7)]
+    got = {r.k: r.m for r in M.percentiles(spark.createDataFrame(rows, "k string, v int"), ["k"], "v", {"m": M.upper_median}).collect()}
+    assert got == {"a": 2, "b": 7}
+
+
+def test_gaps_plans_and_counts(spark):
+    rows = spark.createDataFrame([(0.1, 0.4), (0.2, None), (0.3, 0.2)], "real double, synth double")
+    assert rows.agg(F.round(F.avg(M.cer_gap(rows, "real", "synth")), 6)).first()[0] == 0.1
+    plan = spark.range(1).select(*M.training_plan(rows=F.lit(7032), batch=4, accumulate=2, epochs=40, seconds_per_step=F.lit(1.42), session_hours=8.5)).first()
+    assert plan.steps_per_epoch == 879 and round(plan.total_hours, 3) == round(879 * 40 * 1.42 / 3600, 3) and plan.sessions == 2
+    episodes, failed = spark.createDataFrame([("e",), ("f",), ("g",), ("e",)], "episode string"), spark.createDataFrame([("f", 3), ("f", 4)], "episode string, chunk int")
+    assert tuple(X.episode_counts(episodes, failed).first()) == (2, 1)
+    twice = spark.createDataFrame([("e", 1, "[1]"), ("e", 1, "[1]"), ("e", 2, "{")], "episode string, chunk int, reply string")
+    chunks = spark.createDataFrame([("e", 1), ("e", 2)], "episode string, chunk int")
+    filled = X.fill_cache(chunks, twice, ["episode", "chunk"], lambda miss: miss.withColumn("reply", F.lit("[]")))
+    assert sorted((r.chunk, r.reply) for r in filled.collect()) == [(1, "[1]"), (2, "[]")]
 
 
 def test_alignment_against_plain_dp():

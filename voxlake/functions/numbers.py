@@ -30,7 +30,12 @@ def exact_round(places: int):
 
     @pandas_udf("double")
     def rounded(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None or x != x else round(x, places))
+        import numpy as np
+
+        x = s.to_numpy(dtype=float, na_value=np.nan)
+        # decimal output is exact, arithmetic is not
+        out = np.char.mod(f"%.{places}f", x).astype(float) if places >= 0 else np.array([v if v != v or abs(v) == np.inf else round(v, places) for v in x.tolist()], float)
+        return pd.Series(out).where(~np.isnan(out), None)
 
     return rounded
 

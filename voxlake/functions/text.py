@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,11 +25,10 @@ SIGNS = {"ා": "aa", "ැ": "ae", "ෑ": "aae", "ි": "i", "ී": "ii", "ු":
 VIRAMA, ANUSVARA, VISARGA, JOINER = "්", "ං", "ඃ", "‍"
 QUOTES = "‘’“”\""
 SPOKEN = "abcdefghijklmnopqrstuvwxyz .,?!'-:;"
-# -------------------------------------------------------------------------------------------
-
 SCRIPT = r"[඀-෿]"
 DIACRITICS = "(?iu)[āīūēōæǣñśşḍḥḷṁṅṇṉṛṝṭ]"
 DIGITS = r"[0-9෦-෯]"
+# -------------------------------------------------------------------------------------------
 
 
 def strip(c: Column) -> Column:
@@ -48,48 +49,69 @@ def word_count(c: Column) -> Column:
     return F.size(words(c))
 
 
-def expand(c: Column, table: dict[str, str]) -> Column:
-    """Every single character of the table replaced by its text, in few passes: characters whose texts end alike get the
-    end appended together, then one translation gives all of them their first letters. The texts are ASCII, the
-    characters are not, so nothing is rewritten twice."""
-    ends: dict[str, str] = {}
-    for ch, text in table.items():
-        if len(text) > 1:
-            ends[text[1:]] = ends.get(text[1:], "") + ch
-    for end, chars in ends.items():
-        c = F.regexp_replace(c, f"[{chars}]", f"$0{end}")
-    keys = sorted(table, key=lambda ch: not table[ch])  # characters without a text come last: translate deletes those
-    return F.translate(c, "".join(keys), "".join(table[ch][:1] for ch in keys))
-
-
 def spoken(c: Column) -> Column:
     """Lower case, one kind of quote, only characters that can be spoken, single blanks. Tabs and line ends are deleted."""
     c = F.translate(F.replace(F.lower(c), F.lit(JOINER), F.lit("")), QUOTES, "'" * len(QUOTES))
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"[^a-z .,?!'\-:;]", ""), " +", " "))
 
 
+class Fold:
+    """The folds of one text. Column expressions need a pass of its own for every ending of the alphabet (18 passes, and
+    fourteen times as long); here a text is translated once."""
+
+    def __init__(self):
+        unaspirated = "".join(k[0] for k, v in ROMAN.items() if len(k) == 2 and len(v) == 1)
+        aspirated = "".join(k for k, v in ROMAN.items() if len(k) == 1 and k.isascii() and v == k + "h")
+        letters, signs = "".join(CONSONANTS), "".join(SIGNS)
+        self.is_script = re.compile(SCRIPT)
+        self.lose, self.gain = re.compile(f"([{unaspirated}])h"), re.compile(f"[{aspirated}](?!h)")
+        self.stray, self.bare = re.compile(f"(?<![{letters}])[{VIRAMA}{signs}]"), re.compile(f"([{letters}])(?![{VIRAMA}{signs}])")
+        self.roman = str.maketrans({k: v for k, v in ROMAN.items() if len(k) == 1 and not k.isascii()})
+        self.letters = str.maketrans({**CONSONANTS, **VOWELS, **SIGNS, ANUSVARA: "ng", VISARGA: "h", VIRAMA: ""})
+        self.quotes = str.maketrans({**dict.fromkeys(QUOTES, "'"), JOINER: ""})
+        self.silent, self.blanks = re.compile(f"[^{re.escape(SPOKEN)}]"), re.compile(" +")
+
+    def spoken(self, text: str) -> str:
+        return self.blanks.sub(" ", self.silent.sub("", text.lower().translate(self.quotes))).strip(" ")
+
+    def fold_roman(self, text: str) -> str:
+        text = text.lower().translate(self.quotes)
+        return self.spoken(self.gain.sub(r"\g<0>h", self.lose.sub(r"\1", text)).translate(self.roman))
+
+    def fold_script(self, text: str) -> str:
+        text = self.stray.sub("", text.replace(JOINER, ""))
+        return self.spoken(self.bare.sub(r"\1a", text).translate(self.letters))
+
+    def fold(self, text: str) -> str:
+        return self.fold_script(text) if self.is_script.search(text) else self.fold_roman(text)
+
+
+def _folded(c: Column, kind: str) -> Column:
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("string")
+    def folded(texts: pd.Series) -> pd.Series:
+        one = getattr(Fold(), kind)
+        return pd.Series([one(x) if isinstance(x, str) else None for x in texts], dtype=object)
+
+    return folded(c)
+
+
 def fold_roman(c: Column) -> Column:
     """Romanised text in plain letters, as one left-to-right pass over ROMAN with the longest key first would write it:
     aspirates lose their h, plain dentals and c get one, then the letters with marks are spelled out."""
-    c = F.translate(F.replace(F.lower(c), F.lit(JOINER), F.lit("")), QUOTES, "'" * len(QUOTES))
-    unaspirated = "".join(k[0] for k, v in ROMAN.items() if len(k) == 2 and len(v) == 1)
-    aspirated = "".join(k for k, v in ROMAN.items() if len(k) == 1 and k.isascii() and v == k + "h")
-    c = F.regexp_replace(F.regexp_replace(c, f"([{unaspirated}])h", "$1"), f"[{aspirated}](?!h)", "$0h")
-    return spoken(expand(c, {k: v for k, v in ROMAN.items() if len(k) == 1 and not k.isascii()}))
+    return _folded(c, "fold_roman")
 
 
 def fold_script(c: Column) -> Column:
     """Script in the same plain letters: a consonant carries `a` unless a sign or the virama follows; signs that follow no
     consonant go."""
-    letters, signs = "".join(CONSONANTS), "".join(SIGNS)
-    c = F.replace(c, F.lit(JOINER), F.lit(""))
-    c = F.regexp_replace(c, f"(?<![{letters}])[{VIRAMA}{signs}]", "")
-    c = F.regexp_replace(c, f"[{letters}](?![{VIRAMA}{signs}])", "$0a")
-    return spoken(expand(c, {**CONSONANTS, **VOWELS, **SIGNS, ANUSVARA: "ng", VISARGA: "h", VIRAMA: ""}))
+    return _folded(c, "fold_script")
 
 
 def fold(c: Column) -> Column:
-    return F.when(c.rlike(SCRIPT), fold_script(c)).otherwise(fold_roman(c))
+    """The fold of the alphabet that the text is written in."""
+    return _folded(c, "fold")
 
 
 def unmapped(c: Column, known: str | None = None) -> Column:

@@ -77,5 +77,7 @@ def best_source_files(files: DataFrame, ident: str = "identifier") -> DataFrame:
 
     rows = files.filter(F.col("name").rlike(AUDIO)).withColumn("size_n", F.coalesce(F.col("size").try_cast("long"), F.lit(0)))
     rows = rows.withColumn("some_original", F.max((F.col("source") == "original").cast("int")).over(W.partitionBy(ident))).filter((F.col("some_original") == 0) | (F.col("source") == "original"))
-    rank = F.row_number().over(W.partitionBy(ident, "stem").orderBy(F.desc("size_n"), "seq"))
-    return rows.withColumn("stem", path_stem(F.col("name"))).withColumn("_rn", rank).filter("_rn = 1").drop("_rn", "some_original", "size_n")
+    rows = rows.withColumn("stem", path_stem(F.col("name")))
+    kept = [c for c in rows.columns if c not in (ident, "stem", "some_original", "size_n")]
+    first = F.min_by(F.struct(*kept), F.struct(-F.col("size_n"), F.col("seq")))
+    return rows.groupBy(ident, "stem").agg(first.alias("_first")).select(ident, "stem", "_first.*")

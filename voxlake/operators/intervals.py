@@ -1,39 +1,67 @@
 """Speech intervals: chunking, ownership, merging, trimming, padding and checks.
 
 Every function works per key (an episode, or episode and chunk), takes its order from columns and keeps all keys apart, so
-the work spreads over the keys. Where a row depends on decisions taken before it, the rows of one key are folded with an
-aggregate expression, or by a grouped pandas function where the fold has two inputs.
+the work spreads over the keys. Where a row depends on decisions taken before it, sorted rows are streamed through a fold
+whose state is the last row or two, so a key of any length needs no more memory than a short one (snap holds one key's).
 """
 
 from __future__ import annotations
 
+import bisect
+from collections.abc import Callable, Iterator
+from itertools import chain, groupby
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from voxlake import reach_workers
+from voxlake.functions.numbers import exact_round
 
 MIN_CLIP, MAX_CLIP, MERGE_GAP, PAD = 3.0, 30.0, 0.6, 0.1
 
 
-def _ordered(df: DataFrame, keys: list[str], *fields: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("rows"))
+def _streamed(rows: DataFrame, keys: list[str], order: list[str], fold: Callable[[Iterator[tuple]], Iterator[tuple]], added: str) -> DataFrame:
+    """Keys and `added` columns: `fold` gets the rest of each key's rows, sorted, and yields rows of the added columns."""
+    reach_workers(rows.sparkSession)
+    kept = rows.select(*keys).schema
+    schema = StructType([*kept.fields, *StructType.fromDDL(added).fields])
+    types, n = to_arrow_schema(schema), len(keys)
+
+    def run(batches):
+        each = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        out = []
+        for key, own in groupby(each, key=lambda r: r[:n]):
+            for r in fold(x[n:] for x in own):
+                out.append(key + r)
+                if len(out) == 8192:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), types, strict=True)], schema=types)
+                    out = []
+        columns = zip(*out, strict=True) if out else [[]] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, types, strict=True)], schema=types)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
 def chunk_regions(regions: DataFrame, keys: list[str], *, start: str = "start", end: str = "end", target: float = 300.0) -> DataFrame:
-    """(keys, chunk, c0, c1, n_regions): a new chunk begins where a region's end would lie over `target` from the chunk's start."""
-    rows = _ordered(regions, keys, F.col(start).alias("s"), F.col(end).alias("e"))
-    empty = F.array().cast("array<struct<c0:double,c1:double,n:long>>")
-    zero = F.struct(empty.alias("done"), F.lit(None).cast("double").alias("c0"), F.lit(None).cast("double").alias("c1"), F.lit(0).cast("long").alias("n"))
+    """(keys, chunk, c0, c1, n_regions): a new chunk begins where a region's end would lie over `target` from the chunk's
+    start. Regions without start or end are left out."""
 
-    def step(acc: Column, r: Column) -> Column:
-        opens = acc["c0"].isNull() | (r["e"] - acc["c0"] > target)
-        closed = F.when(opens & acc["c0"].isNotNull(), F.concat(acc["done"], F.array(F.struct(acc["c0"].alias("c0"), acc["c1"].alias("c1"), acc["n"].alias("n"))))).otherwise(acc["done"])
-        return F.struct(
-            closed.alias("done"), F.when(opens, r["s"]).otherwise(acc["c0"]).cast("double").alias("c0"), r["e"].cast("double").alias("c1"),
-            F.when(opens, F.lit(1)).otherwise(acc["n"] + 1).cast("long").alias("n"),
-        )
+    def fold(rows):
+        chunk, c0, c1, n = 0, None, None, 0
+        for s, e in rows:
+            if c0 is not None and e - c0 > target:
+                yield chunk, c0, c1, n
+                chunk, c0, n = chunk + 1, None, 0
+            c0, c1, n = (s if c0 is None else c0), e, n + 1
+        if n:
+            yield chunk, c0, c1, n
 
-    last = lambda acc: F.when(acc["c0"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(F.struct(acc["c0"].alias("c0"), acc["c1"].alias("c1"), acc["n"].alias("n")))))
-    return rows.select(*keys, F.posexplode(F.aggregate("rows", zero, step, last)).alias("chunk", "c")).select(*keys, "chunk", "c.c0", "c.c1", F.col("c.n").alias("n_regions"))
+    rows = regions.select(*keys, F.col(start).cast("double").alias("_s"), F.col(end).cast("double").alias("_e")).filter("_s IS NOT NULL AND _e IS NOT NULL")
+    return _streamed(rows, keys, ["_s", "_e"], fold, "chunk int, c0 double, c1 double, n_regions long")
 
 
 def regions_in_chunks(chunks: DataFrame, regions: DataFrame, keys: list[str], *, start: str = "start", end: str = "end") -> DataFrame:
@@ -66,52 +94,49 @@ def snap(sentences: DataFrame, regions: DataFrame, keys: list[str]) -> DataFrame
 
     Regions go by time. A region is won by the sentence from the current one on that it overlaps most (the first of equals);
     that one is current from then on. A region without overlap is left out. A sentence without a region keeps its own span
-    and gets snapped = false. Returns keys, start, end, text, snapped, n_regions.
+    and gets snapped = false. Rows without start or end are left out. Returns keys, start, end, text, snapped, n_regions.
     """
-    types = {f.name: f.dataType.simpleString() for f in sentences.schema}
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["`start` double", "`end` double", "text string", "snapped boolean", "n_regions long"])
-
-    def own(key, said, found):
-        import bisect
-
-        import pandas as pd
-
-        said, found = said.sort_values(["start", "end", "text"], kind="stable"), found.sort_values(["start", "end"], kind="stable")
-        starts, ends, current = said["start"].tolist(), said["end"].tolist(), 0
-        won: list[list] = [[] for _ in starts]
-        for a, b in zip(found["start"], found["end"], strict=True):
+    def own(rows):
+        said, found = [], []
+        for kind, a, b, text in rows:
+            (found if kind else said).append((a, b, text))
+        starts, ends, current = [s[0] for s in said], [s[1] for s in said], 0
+        won: list[list] = [[] for _ in said]
+        for a, b, _ in found:
             reach = bisect.bisect_right(starts, b, lo=current)
             shared = [min(b, ends[i]) - max(a, starts[i]) for i in range(current, reach)]
             if shared and max(shared) > 0:
                 current += shared.index(max(shared))
                 won[current].append((a, b))
-        out = pd.DataFrame({"start": [w[0][0] if w else s for w, s in zip(won, starts, strict=True)], "end": [w[-1][1] if w else e for w, e in zip(won, ends, strict=True)], "text": said["text"].tolist(), "snapped": [bool(w) for w in won], "n_regions": [len(w) for w in won]})
-        for k, v in zip(reversed(keys), reversed(key), strict=True):
-            out.insert(0, k, v)
-        return out
+        for (s, e, text), w in zip(said, won, strict=True):
+            yield w[0][0] if w else s, w[-1][1] if w else e, text, bool(w), len(w)
 
-    left = sentences.select(*keys, F.col("start").cast("double"), F.col("end").cast("double"), "text")
-    right = regions.select(*keys, F.col("start").cast("double"), F.col("end").cast("double"))
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda key, a, b: own(key, a, b), schema)
+    kinds = [rows.select(*keys, F.lit(k).alias("_kind"), F.col("start").cast("double").alias("_s"), F.col("end").cast("double").alias("_e"), text.alias("_t")) for k, rows, text in ((0, sentences, F.col("text")), (1, regions, F.lit(None).cast("string")))]
+    rows = kinds[0].unionByName(kinds[1]).filter("_s IS NOT NULL AND _e IS NOT NULL")
+    return _streamed(rows, keys, ["_kind", "_s", "_e", "_t"], own, "`start` double, `end` double, text string, snapped boolean, n_regions long")
 
 
 def merge_short(sentences: DataFrame, keys: list[str], *, least: float = MIN_CLIP, most: float = MAX_CLIP, gap: float = MERGE_GAP) -> DataFrame:
     """Neighbours joined while one of them is short, the result fits and the pause is small. The left side of every test is
     the merged row so far. Returns keys, seq, start, end, text, snapped."""
-    rows = _ordered(sentences, keys, F.col("start").cast("double").alias("s"), F.col("end").cast("double").alias("e"), F.col("text").alias("t"), F.col("snapped").alias("ok"))
-    kind = "array<struct<s:double,e:double,t:string,ok:boolean>>"
 
-    def step(acc: Column, x: Column) -> Column:
-        prev = F.element_at(acc, -1)
-        pause = x["s"] - prev["e"]
-        short = (prev["e"] - prev["s"] < least) | (x["e"] - x["s"] < least)
-        joins = (F.size(acc) > 0) & short & (x["e"] - prev["s"] <= most) & (pause >= 0) & (pause <= gap)
-        both = F.struct(prev["s"].alias("s"), x["e"].alias("e"), F.trim(F.concat(prev["t"], F.lit(" "), x["t"])).alias("t"), (prev["ok"] & x["ok"]).alias("ok"))
-        return F.when(F.size(acc) == 0, F.array(x)).when(joins, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(both))).otherwise(F.concat(acc, F.array(x))).cast(kind)
-
-    # element_at of an empty array is null here, never an error: the first case is taken
-    prev_safe = F.aggregate("rows", F.array().cast(kind), lambda acc, x: F.when(F.size(acc) == 0, F.array(x).cast(kind)).otherwise(step(acc, x)))
-    return rows.select(*keys, F.posexplode(prev_safe).alias("seq", "r")).select(*keys, "seq", F.col("r.s").alias("start"), F.col("r.e").alias("end"), F.col("r.t").alias("text"), F.col("r.ok").alias("snapped"))
+    def fold(rows):
+        seq, last = 0, None
+        for s, e, t, ok in rows:
+            if last is not None:
+                a, b, text, fine = last
+                if (b - a < least or e - s < least) and e - a <= most and 0 <= s - b <= gap:
+                    both = False if fine is False or ok is False else None if fine is None or ok is None else True
+                    last = a, e, None if text is None or t is None else f"{text} {t}".strip(" "), both
+                    continue
+                yield (seq, *last)
+                seq += 1
+            last = s, e, t, ok
+        if last is not None:
+            yield (seq, *last)
+
+    rows = sentences.select(*keys, F.col("start").cast("double").alias("_s"), F.col("end").cast("double").alias("_e"), F.col("text").alias("_t"), F.col("snapped").alias("_ok")).filter("_s IS NOT NULL AND _e IS NOT NULL")
+    return _streamed(rows, keys, ["_s", "_e", "_t", "_ok"], fold, "seq int, `start` double, `end` double, text string, snapped boolean")
 
 
 def trim_overlap(spans: DataFrame, keys: list[str], *, start: str = "start", end: str = "end", tie: list[str] | None = None) -> DataFrame:
@@ -124,8 +149,10 @@ def trim_overlap(spans: DataFrame, keys: list[str], *, start: str = "start", end
 
 def dedupe_spans(spans: DataFrame, keys: list[str], *, start: str = "start", end: str = "end", tie: list[str] | None = None, places: int = 2) -> DataFrame:
     """The first of the spans whose rounded start and end are equal."""
-    w = W.partitionBy(*keys, F.bround(F.col(start), places), F.bround(F.col(end), places)).orderBy(start, end, *(tie or []))
-    return spans.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    nearest = exact_round(places)
+    w = W.partitionBy(*keys, "_rs", "_re").orderBy(start, end, *(tie or []))
+    rows = spans.withColumn("_rs", nearest(F.col(start).cast("double"))).withColumn("_re", nearest(F.col(end).cast("double")))
+    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_rs", "_re")
 
 
 def in_band(start: Column, end: Column, least: float = MIN_CLIP, most: float = MAX_CLIP) -> Column:
@@ -145,20 +172,20 @@ def pad_clips(spans: DataFrame, keys: list[str], total: Column, *, pad: float =
 def pad_clips_fold(spans: DataFrame, keys: list[str], total: str, *, id_col: str, pad: float = PAD, least: float = MIN_CLIP) -> DataFrame:
     """The same for spans of any length: a span that is dropped takes nothing from the next one's room. Returns keys, id_col,
     clip_index, a, b. `total` names a column that is the same for all rows of a key."""
-    rows = spans.groupBy(*keys).agg(F.max(total).cast("double").alias("total"), F.sort_array(F.collect_list(F.struct(F.col("start").cast("double").alias("s"), F.col("end").cast("double").alias("e"), F.col(id_col).alias("id")))).alias("rows"))
-    id_type = spans.schema[id_col].dataType.simpleString()
-    kind = f"struct<out:array<struct<i:int,id:{id_type},a:double,b:double>>,i:int,last:double>"
-    following = lambda i: F.coalesce(F.get(F.col("rows"), i + 1)["s"], F.col("total"))
-
-    def step(acc: Column, x: Column) -> Column:
-        a = F.greatest(F.lit(0.0), acc["last"], x["s"] - pad)
-        b = F.least(F.col("total"), following(acc["i"]), x["e"] + pad)
-        keep = b - a >= least
-        added = F.concat(acc["out"], F.array(F.struct(acc["i"].alias("i"), x["id"].alias("id"), a.alias("a"), b.alias("b"))))
-        return F.struct(F.when(keep, added).otherwise(acc["out"]).alias("out"), (acc["i"] + 1).alias("i"), F.when(keep, b).otherwise(acc["last"]).alias("last")).cast(kind)
-
-    zero = F.struct(F.array().cast(f"array<struct<i:int,id:{id_type},a:double,b:double>>").alias("out"), F.lit(0).alias("i"), F.lit(0.0).alias("last")).cast(kind)
-    return rows.select(*keys, F.explode(F.aggregate("rows", zero, step, lambda acc: acc["out"])).alias("c")).select(*keys, F.col("c.id").alias(id_col), F.col("c.i").alias("clip_index"), "c.a", "c.b")
+
+    def fold(rows):
+        last, held = 0.0, None
+        for i, x in enumerate(chain(rows, [None])):
+            if held is not None:
+                s, e, name, whole = held
+                a, b = max(0.0, last, s - pad), min(whole, whole if x is None else x[0], e + pad)
+                if b - a >= least:
+                    last = b
+                    yield name, i - 1, a, b
+            held = x
+
+    rows = spans.select(*keys, F.col("start").cast("double").alias("_s"), F.col("end").cast("double").alias("_e"), F.col(id_col).alias("_id"), F.col(total).cast("double").alias("_total")).filter("_s IS NOT NULL AND _e IS NOT NULL AND _total IS NOT NULL")
+    return _streamed(rows, keys, ["_s", "_e", "_id"], fold, f"`{id_col}` {spans.schema[id_col].dataType.simpleString()}, clip_index int, a double, b double")
 
 
 def overlap_violations(spans: DataFrame, keys: list[str], *, start: str = "start", end: str = "end", tie: list[str] | None = None, tolerance: float = 0.001) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -18,34 +21,55 @@ def stat_block(value: Column, places: int = 4) -> Column:
     return F.when(F.count(value) > 0, F.struct(*parts))
 
 
-def summarise(rows: DataFrame, group: str, metrics: list[str], optional: list[str] | None = None) -> DataFrame:
+def hours_by(clips: DataFrame, speaker: str, seconds: str) -> DataFrame:
+    """(speaker, clips, hours, median, longest) of clip lengths in seconds."""
+    return clips.groupBy(speaker).agg(F.count("*").alias("clips"), (F.sum(seconds) / 3600).alias("hours"), F.median(seconds).alias("median"), F.max(seconds).alias("longest"))
+
+
+def summarise(rows: DataFrame, group: str, metrics: list[str], optional: list[str] | None = None, places: int = 4) -> DataFrame:
     """Statistics overall (name all) and for each group, with the failure rate over all rows. Optional metrics are left out
-    when no row has a value."""
+    when no row has a value, which takes a pass over the rows where some are named."""
     present = [c for c in (optional or []) if c in rows.columns]
     if present:
         seen = rows.agg(*[F.bool_or(F.col(c).isNotNull()).alias(c) for c in present]).first()
         present = [c for c in present if seen[c]]
-    blocks = [stat_block(F.col(c)).alias(c) for c in [*[m for m in metrics if m in rows.columns], *present]]
+    blocks = [stat_block(F.col(c), places).alias(c) for c in [*[m for m in metrics if m in rows.columns], *present]]
     failed = F.sum(F.coalesce(F.col("failed").cast("int"), F.lit(0))) / F.greatest(F.count("*"), F.lit(1))
     out = rows.groupingSets([[F.col(group)], []], F.col(group)).agg(F.grouping(group).alias("whole"), F.count("*").alias("clips"), failed.alias("failure_rate"), *blocks)
     return out.withColumn("name", F.when(F.col("whole") == 1, F.lit("all")).otherwise(F.col(group))).drop(group)
 
 
-def index_percentile(value: Column, position: Column) -> Column:
-    """The value at a position (0-based) of the sorted values; for bounded groups."""
-    return F.get(F.sort_array(F.collect_list(value)), position.cast("int"))
+def upper_median(n: Column) -> Column:
+    return F.floor(n / 2)
+
+
+def p95_of_n(n: Column) -> Column:
+    return F.floor(n * 0.95)
+
+
+def p95_of_last(n: Column) -> Column:
+    return F.floor((n - 1) * 0.95)
 
 
-def upper_median(value: Column) -> Column:
-    return index_percentile(value, F.floor(F.count(value) / 2))
+def percentiles(df: DataFrame, keys: list[str], value: str, positions: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """(keys, one column for each position): the value at a 0-based position, which is a function of the number n of values,
+    of a group's sorted values; nulls are skipped. Values are counted first, so a group costs its distinct values."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    group = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    rows = counts.withColumn("_upto", F.sum("_c").over(group.orderBy("_v").rowsBetween(W.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(group))
+    return rows.groupBy(*keys).agg(*[F.min(F.when(F.col("_upto") > at(F.col("_n")), F.col("_v"))).alias(name) for name, at in positions.items()])
 
 
-def p95_of_n(value: Column) -> Column:
-    return index_percentile(value, F.floor(F.count(value) * 0.95))
+def cer_gap(rows: DataFrame, real: str, synthetic: str) -> Column:
+    """What a row's synthetic speech costs in character error rate over the real one; null if one is missing."""
+    return rows[synthetic] - rows[real]
 
 
-def p95_of_last(value: Column) -> Column:
-    return index_percentile(value, F.floor((F.count(value) - 1) * 0.95))
+def training_plan(*, rows: Column, batch: int, accumulate: int, epochs: int, seconds_per_step: Column, session_hours: float) -> list[Column]:
+    """steps_per_epoch, hours for all epochs, and the sessions of `session_hours` that they need (at least one)."""
+    steps = steps_per_epoch(rows, batch, accumulate)
+    hours = steps * epochs * seconds_per_step / 3600
+    return [steps.alias("steps_per_epoch"), hours.alias("total_hours"), F.greatest(F.lit(1), F.ceil(hours / session_hours)).alias("sessions")]
 
 
 def steps_per_epoch(rows: Column, batch: int, accumulate: int = 1) -> Column:

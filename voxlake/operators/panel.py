@@ -34,8 +34,8 @@ def ratings(responses: DataFrame, field: str) -> DataFrame:
 
 
 def scored_transcripts(responses: DataFrame, key: DataFrame) -> DataFrame:
-    """Transcribed items with accuracy; the key (part, item, sinhala) is one row for each item of a panel, a small list."""
-    refs = F.broadcast(key.filter("part = 'SUS'").select(F.col("item").cast("string").alias("item"), "sinhala"))
+    """Transcribed items with accuracy; the key (part, item, sinhala) has one row for each item of a panel."""
+    refs = key.filter("part = 'SUS'").select(F.col("item").cast("string").alias("item"), "sinhala")
     heard = responses.filter((F.col("part") == "SUS") & (F.col("transcript") != ""))
     return heard.join(refs, "item").withColumn("accuracy", word_accuracy(F.col("sinhala"), F.col("transcript")))
 
@@ -53,3 +53,10 @@ def disagreement(rows: DataFrame, item: str, value: str, *, over: int = 2, top:
 
 def least_intelligible(rows: DataFrame, item: str, value: str, *, top: int = 5) -> DataFrame:
     return rows.groupBy(item).agg(F.avg(value).alias("mean")).orderBy("mean", item).limit(top)
+
+
+def manifest_durations(kept: DataFrame, manifest: DataFrame, key: str = "clip_id", seq: str = "seq") -> DataFrame:
+    """Kept clips with their duration from the manifest; of rows of one clip the last by `seq` counts. Clips that the manifest
+    does not have go."""
+    last = manifest.groupBy(key).agg(F.max_by("duration", seq).alias("duration"))
+    return kept.join(last, key)

@@ -44,7 +44,6 @@ def neighbour_pairs(df: DataFrame, group: list[str], order: list, columns: list[
     """Rows 0 and 1, 2 and 3, ... of each group side by side: group, pair, columns as a_* and b_*."""
     w = W.partitionBy(*group).orderBy(*order)
     rows = df.withColumn("_k", F.row_number().over(w) - 1).withColumn("pair", F.floor(F.col("_k") / 2))
-    side = lambda p: [F.max(F.when(F.col("_k") % 2 == (p == "b"), F.col(c))).alias(f"{p}_{c}") for c in columns]
     even, odd = (F.col("_k") % 2 == 0), (F.col("_k") % 2 == 1)
     pick = [F.max(F.when(even, F.col(c))).alias(f"a_{c}") for c in columns] + [F.max(F.when(odd, F.col(c))).alias(f"b_{c}") for c in columns]
     return rows.groupBy(*group, "pair").agg(F.count("*").alias("_n"), *pick).filter("_n = 2").drop("_n")
@@ -62,9 +61,9 @@ def mixed_sentences(df: DataFrame, id_col: str, text: str, *, least: int = 5, mo
     return out.orderBy(F.xxhash64("n_words", F.lit(seed)), "a_id").limit(limit) if limit else out
 
 
-def conditioning_clip(clips: DataFrame, speaker: str, clip: str, seed: int = 0) -> DataFrame:
+def conditioning_clip(clips: DataFrame, speaker: str, clip: str, seed: int = 0, order: Column | None = None) -> DataFrame:
     """Each clip with another clip of its speaker, drawn by a seeded order: the next one in a ring; null if it is alone."""
-    w = W.partitionBy(speaker).orderBy(seeded(F.col(clip), seed), clip)
+    w = W.partitionBy(speaker).orderBy(seeded(F.col(clip), seed) if order is None else order, clip)
     first = F.first(clip).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     other = F.coalesce(F.lead(clip).over(w), first)
     return clips.withColumn("conditioning", F.when(other != F.col(clip), other))
@@ -77,5 +76,5 @@ def ordered_distinct(df: DataFrame, value: str, seq: str) -> DataFrame:
 
 def longest_per_group(df: DataFrame, group: list[str], text: str, seq: str) -> DataFrame:
     """The row with the longest text of each group, the first of equals."""
-    w = W.partitionBy(*group).orderBy(F.desc(F.char_length(text)), seq)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    order = F.struct(-F.coalesce(F.char_length(text), F.lit(-1)), F.col(seq))
+    return df.groupBy(*group).agg(F.min_by(F.struct(*[c for c in df.columns if c not in group]), order).alias("_first")).select(*group, "_first.*").select(*df.columns)

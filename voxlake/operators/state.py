@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxlake.functions.numbers import expected_chunks
@@ -20,14 +19,22 @@ def episode_state(plan: DataFrame, markers: DataFrame, manifests: DataFrame, cac
     return out.select(*plan.columns, F.coalesce("n_cached", F.lit(0)).alias("n_cached"), status.alias("status"))
 
 
+def episode_counts(episodes: DataFrame, failed_chunks: DataFrame, key: str = "episode") -> DataFrame:
+    """One row: complete and partial episodes (one of whose chunks failed)."""
+    failed = failed_chunks.select(key).distinct().withColumn("_failed", F.lit(True))
+    marked = episodes.select(key).distinct().join(failed, key, "left")
+    return marked.agg(F.count_if(F.col("_failed").isNull()).alias("complete"), F.count_if("_failed").alias("partial"))
+
+
 def open_work(plan: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """What is not done yet."""
     return plan.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
 def fill_cache(chunks: DataFrame, cache: DataFrame, keys: list[str], call: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Cached replies, and fresh ones from `call` for chunks without a valid one. A reply that is not JSON counts as missing."""
-    valid = cache.filter(F.try_parse_json("reply").isNotNull()).select(*keys, "reply")
+    """Cached replies, and fresh ones from `call` for chunks without a valid one. A reply that is not JSON counts as missing;
+    of several replies to one chunk (a task that was run again writes its own) the least one counts."""
+    valid = cache.filter(F.try_parse_json("reply").isNotNull()).groupBy(*keys).agg(F.min("reply").alias("reply"))
     hit = chunks.join(valid, keys)
     miss = chunks.join(valid, keys, "left_anti")
     return hit.unionByName(call(miss).select(*hit.columns))
@@ -46,8 +53,8 @@ def plan_estimate(units: DataFrame, done: DataFrame, keys: list[str], chunk: flo
 
 def adopt(found: DataFrame, present: DataFrame, key: str = "episode", keep: str = "first") -> DataFrame:
     """One directory for each episode found in earlier outputs (the first or the last by path), without those present."""
-    order = F.asc("path") if keep == "first" else F.desc("path")
-    one = found.withColumn("_rn", F.row_number().over(W.partitionBy(key).orderBy(order))).filter("_rn = 1").drop("_rn")
+    pick = F.min_by if keep == "first" else F.max_by
+    one = found.groupBy(key).agg(pick(F.struct(*[c for c in found.columns if c != key]), "path").alias("_one")).select(key, "_one.*").select(*found.columns)
     return one.join(present.select(key).distinct(), key, "left_anti")
 
 

@@ -14,6 +14,8 @@ from voxlake import reach_workers
 from voxlake.functions import numbers as N
 from voxlake.functions import text as T
 from voxlake.operators import discover, filters, gates, intervals, logs, metrics, panel, split, state
+from voxlake.sources import writers
+from voxlake.sources.scratch import scratch_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +74,17 @@ def pad_neighbours(spark, d):
     return padded.select("event_id", "user_id", F.col("clip_index").cast("long").alias("clip_index"), T.clip_id(F.concat(F.lit("user"), F.col("user_id").cast("string")), F.col("clip_index")).alias("clip_id"), r6("a").alias("a"), r6("b").alias("b"))
 
 
+def pad_fold(spark, d):
+    rows = intervals.trim_overlap(spans(spark, d, 600.0), ["user_id"], tie=["event_id"])
+    rows = rows.withColumn("total", F.max("end").over(W.partitionBy("user_id")) - 500.0)
+    out = intervals.pad_clips_fold(rows, ["user_id"], "total", id_col="event_id", pad=300.0, least=20_000.0)
+    return out.select("event_id", "user_id", F.col("clip_index").cast("long").alias("clip_index"), r6("a").alias("a"), r6("b").alias("b"))
+
+
+def exact_rounds(spark, d):
+    return table(spark, d, "events").select("event_id", N.exact_round(2)(F.col("value").cast("double")).alias("rounded"))
+
+
 def overlap_check(spark, d):
     return intervals.overlap_violations(spans(spark, d, 600.0), ["user_id"], tie=["event_id"]).groupBy("user_id").agg(F.count("*").alias("violations"))
 
@@ -212,7 +225,24 @@ def manifest_summary(spark, d):
 
 
 def conditioning_clip(spark, d):
-    return split.conditioning_clip(table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").select("doc_id", "source"), "source", "doc_id", seed=3)
+    rows = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").select("doc_id", "source")
+    return split.conditioning_clip(rows, "source", "doc_id", order=(F.col("doc_id") * 7919) % 10007)
+
+
+def scored_transcripts(spark, d):
+    """Documents as references of a listening panel; every third rater heard one wrong word, every fifth said nothing."""
+    docs = table(spark, d, "documents").filter("text IS NOT NULL")
+    key = docs.select(F.lit("SUS").alias("part"), F.col("doc_id").alias("item"), F.col("text").alias("sinhala"))
+    heard = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 3 == 0, "0").otherwise(F.col("text"))
+    responses = docs.select(F.lit("SUS").alias("part"), F.col("doc_id").cast("string").alias("item"), heard.alias("transcript"))
+    return panel.scored_transcripts(responses, key).select(F.col("item").cast("long").alias("doc_id"), r6("accuracy").alias("accuracy"))
+
+
+def kept_durations(spark, d):
+    """Marked documents as kept clips; a manifest with a row for each line of an order's, the last counts."""
+    kept = table(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias("clip_id"))
+    manifest = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("clip_id"), F.col("l_extendedprice").alias("duration"), F.struct("l_linenumber", "l_extendedprice").alias("seq"))
+    return panel.manifest_durations(kept, manifest)
 
 
 def failover_pairs(spark, d):
@@ -225,8 +255,8 @@ def failover_pairs(spark, d):
 
 
 def stat_blocks(spark, d):
-    rows = table(spark, d, "lineitem").groupingSets([[F.col("l_returnflag")], []], F.col("l_returnflag")).agg(F.grouping("l_returnflag").alias("w"), *metrics.stat_columns("price", F.when(F.col("l_discount") > 0.01, F.col("l_extendedprice"))))
-    return rows.select(F.when(F.col("w") == 1, "all").otherwise(F.col("l_returnflag")).alias("name"), F.col("price_n").alias("n"), *[r6(f"price_{x}").alias(x) for x in ("mean", "median", "std", "min", "max")])
+    rows = table(spark, d, "lineitem").select("l_returnflag", F.when(F.col("l_discount") > 0.01, F.col("l_extendedprice")).alias("price"), F.lit(False).alias("failed"))
+    return metrics.summarise(rows, "l_returnflag", ["price"], places=6).select("name", *[F.col(f"price.{x}").alias(x) for x in ("n", "mean", "median", "std", "min", "max")])
 
 
 def failure_rate(spark, d):
@@ -236,12 +266,33 @@ def failure_rate(spark, d):
 
 
 def index_percentiles(spark, d):
-    c = F.col("n_chars")
-    return table(spark, d, "documents").groupBy("lang").agg(metrics.upper_median(c).alias("median"), metrics.p95_of_n(c).alias("p95"), metrics.p95_of_last(c).alias("p95_last"))
+    return metrics.percentiles(table(spark, d, "documents"), ["lang"], "n_chars", {"median": metrics.upper_median, "p95": metrics.p95_of_n, "p95_last": metrics.p95_of_last})
 
 
 def speaker_hours(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("clips"), r6(F.sum("n_chars") / 3600).alias("hours"), F.median("n_chars").alias("median"), F.max("n_chars").alias("longest"))
+    return metrics.hours_by(table(spark, d, "documents"), "source", "n_chars").withColumn("hours", r6("hours"))
+
+
+def cer_gaps(spark, d):
+    """Two prices of a line as the error rates of real and synthetic speech."""
+    rows = table(spark, d, "lineitem").select("l_returnflag", F.col("l_discount").alias("real"), F.when(F.col("l_linenumber") != 2, F.col("l_tax")).alias("synthetic"))
+    rows = rows.withColumn("gap", metrics.cer_gap(rows, "real", "synthetic")).withColumn("failed", F.col("gap") > 0.02)
+    return metrics.summarise(rows, "l_returnflag", ["gap"], places=6).select("name", "clips", r6("failure_rate").alias("failure_rate"), "gap.n", "gap.mean", "gap.std")
+
+
+def training_plan(spark, d):
+    rows = table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+    out = rows.select("lang", *metrics.training_plan(rows=F.col("n"), batch=4, accumulate=2, epochs=40, seconds_per_step=F.lit(1.42), session_hours=0.5))
+    return out.select("lang", F.col("steps_per_epoch").cast("long").alias("steps_per_epoch"), r6("total_hours").alias("total_hours"), F.col("sessions").cast("long").alias("sessions"))
+
+
+def episode_counts(spark, d):
+    orders = table(spark, d, "orders")
+    return state.episode_counts(orders.select(F.col("o_custkey").alias("episode")), orders.filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("episode")))
+
+
+def gates_overall(spark, d):
+    return gates.overall(gates.compare(run_metrics(spark, d, 0), run_metrics(spark, d, 1), gates.gate_table(spark))).select("compared", "failed", "passed")
 
 
 def pooled_ratings(spark, d):
@@ -355,22 +406,6 @@ def fold_script(spark, d):
     return table(spark, d, "documents").select("doc_id", T.fold(script).alias("folded"))
 
 
-def turn_pairs(spark, d):
-    clean = F.regexp_replace("text", r"[^\x00-\x7F]", "")
-    rows = table(spark, d, "conversations").select("conv_id", "turn", clean.alias("text"))
-    w = W.partitionBy("conv_id").orderBy("turn")
-    return rows.withColumn("following", F.lead("text").over(w)).filter("following IS NOT NULL")
-
-
-def cer_pairs(spark, d):
-    return turn_pairs(spark, d).select("conv_id", "turn", r6(T.character_error_rate(F.substring("text", 1, 200), F.substring("following", 1, 200))).alias("cer"))
-
-
-def word_accuracy_pairs(spark, d):
-    cut = lambda c: F.concat_ws(" ", F.slice(T.words(F.col(c)), 1, 12))
-    return turn_pairs(spark, d).select("conv_id", "turn", r6(T.word_accuracy(cut("text"), cut("following"))).alias("accuracy"))
-
-
 def whole_turn_pairs(spark, d):
     """Each turn with the next one of its conversation, both as they stand."""
     w = W.partitionBy("conv_id").orderBy("turn")
@@ -378,12 +413,10 @@ def whole_turn_pairs(spark, d):
 
 
 def cer_turns(spark, d):
-    """cer_pairs compares 200 characters without non-ASCII letters, as its SQL says; this compares whole texts."""
     return whole_turn_pairs(spark, d).select("conv_id", "turn", r6(T.character_error_rate(F.col("text"), F.col("following"))).alias("cer"))
 
 
 def word_accuracy_turns(spark, d):
-    """word_accuracy_pairs compares 12 words without non-ASCII letters, as its SQL says; this compares whole texts."""
     return whole_turn_pairs(spark, d).select("conv_id", "turn", r6(T.word_accuracy(F.col("text"), F.col("following"))).alias("accuracy"))
 
 
@@ -542,7 +575,63 @@ def clip_signals(spark, d):
     e = F.col("embedding")
     rows = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("clip_id"), tone(200 + 100 * e[0]).alias("ref"), tone(260 + 100 * e[0]).alias("syn"))
     out = metrics.clip_metrics(rows, 16_000)
-    return out.select("clip_id", F.round("f0_rmse_cents", 0).alias("cents"), F.round("duration_ratio", 6).alias("duration_ratio"))
+    return out.select("clip_id", F.round("mcd_db", 2).alias("mcd_db"), F.round("f0_rmse_cents", 0).alias("cents"), F.round("f0_corr", 2).alias("f0_corr"), "voiced_frames", F.round("duration_ratio", 6).alias("duration_ratio"))
+
+
+def distortion_landmarks(spark, d):
+    """Distortion of a tone against itself, louder, higher and as noise-like steps: landmarks that scores are read against."""
+    from pyspark.sql.types import ArrayType, FloatType
+
+    t = F.transform(F.sequence(F.lit(0), F.lit(7999)), lambda i: F.sin(2 * 3.141592653589793 * 220 * i / 16000))
+    high = F.transform(F.sequence(F.lit(0), F.lit(7999)), lambda i: F.sin(2 * 3.141592653589793 * 330 * i / 16000))
+    rough = F.transform(F.sequence(F.lit(0), F.lit(7999)), lambda i: F.pmod(F.xxhash64(i), F.lit(2001)) / 1000.0 - 1)
+    as_signal = lambda c: c.cast(ArrayType(FloatType()))
+    pairs = [("same", t, t), ("louder", t, F.transform(t, lambda x: x * 0.5)), ("higher", t, high), ("noise", t, rough)]
+    rows = table(spark, d, "region").limit(1).select(F.explode(F.array(*[F.struct(F.lit(n).alias("pair"), as_signal(a).alias("ref"), as_signal(b).alias("syn")) for n, a, b in pairs])).alias("p")).select("p.*")
+    return metrics.calibration(rows, 16_000).select("pair", F.round("mcd_db", 3).alias("mcd_db"))
+
+
+def manifest_round_trip(spark, d):
+    """Documents written as a quoted CSV and read back."""
+    folder = scratch_folder(spark, "manifest")
+    writers.export_csv(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("clip_id"), F.regexp_replace("text", r"[\r\n]+", " ").alias("text"), "lang"), folder)
+    back = spark.read.schema("clip_id string, text string, lang string").option("header", True).option("escape", '"').csv(folder)
+    return back.select(F.col("clip_id").cast("long").alias("doc_id"), "lang", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n"))
+
+
+def cache_round_trip(spark, d):
+    """Replies written twice by episode and chunk: a repeated run leaves one of each."""
+    folder = scratch_folder(spark, "cache")
+    replies = table(spark, d, "events").filter("user_id % 50 = 1").select(F.col("user_id").alias("episode"), F.col("event_id").alias("chunk"), F.col("props").alias("reply"))
+    for _ in range(2):
+        writers.write_cache(replies, folder)
+    return spark.read.parquet(folder).groupBy("episode").agg(F.count("*").alias("n"), F.max("chunk").alias("last_chunk")).select(F.col("episode").cast("long").alias("episode"), "n", "last_chunk")
+
+
+def report_round_trip(spark, d):
+    """Each source's report as a JSON line, written as text and read back."""
+    folder = scratch_folder(spark, "reports")
+    rows = table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("clips"), F.sum("n_chars").alias("chars"))
+    writers.json_report(rows).write.text(folder)
+    return spark.read.schema("source string, clips long, chars long").json(folder)
+
+
+def stream_divergence(spark, d):
+    """The events' log as a stream: all that is there is read (availableNow), and the guard says which logs are lost."""
+    from voxlake.streaming.guard import diverging
+
+    lines, marks, out = (scratch_folder(spark, x) for x in ("lines", "marks", "out"))
+    event_log(spark, d).withColumn("log_id", F.col("log_id").cast("string")).write.parquet(lines)
+    stream = spark.readStream.schema("log_id string, line_no long, line string").parquet(lines)
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    said = diverging(stream, need=1, order="line_no")
+    said.writeStream.outputMode("update").option("checkpointLocation", marks).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    told = spark.read.schema("log_id string, seen long, diverged boolean, batch int").parquet(out)
+    last = told.groupBy("log_id").agg(F.max_by(F.struct("seen", "diverged"), "batch").alias("s"))
+    return last.select(F.col("log_id").cast("long").alias("log_id"), "s.seen", "s.diverged")
 
 
 def streaming_counts(spark, d):
@@ -555,13 +644,13 @@ def streaming_counts(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        chunk_regions, region_chunk_overlap, trim_overlap, dedupe_spans, snap_regions, merge_short, pad_neighbours, overlap_check, length_band, coverage,
+        chunk_regions, region_chunk_overlap, trim_overlap, dedupe_spans, snap_regions, merge_short, pad_neighbours, pad_fold, exact_rounds, overlap_check, length_band, coverage,
         drop_reasons, drop_counts, corpus_cascade, speaker_cascade, best_source_files, originals_else_all, file_stems,
-        wav_join, key_join, speaker_dirs, missing_names, resume_antijoin, cache_fill, episode_state, plan_estimate, adopt_first, schema_union, manifest_summary, conditioning_clip, failover_pairs,
-        stat_blocks, failure_rate, index_percentiles, speaker_hours, pooled_ratings, rater_groups, disagreement_topk, least_intelligible, ordered_distinct, character_counts, unmapped_chars, modal_width, epoch_plan, first_rates, speaker_overview, slim_tensors,
+        wav_join, key_join, speaker_dirs, missing_names, resume_antijoin, cache_fill, episode_state, plan_estimate, adopt_first, schema_union, manifest_summary, conditioning_clip, scored_transcripts, kept_durations, episode_counts, failover_pairs,
+        stat_blocks, failure_rate, index_percentiles, speaker_hours, cer_gaps, training_plan, gates_overall, pooled_ratings, rater_groups, disagreement_topk, least_intelligible, ordered_distinct, character_counts, unmapped_chars, modal_width, epoch_plan, first_rates, speaker_overview, slim_tensors,
         train_eval_split, seeded_split, terciles, first_per_group, interleave_pairs, longest_text,
-        fold_roman, normalise_text, fold_script, cer_pairs, word_accuracy_pairs, cer_turns, word_accuracy_turns, escaped_html,
+        fold_roman, normalise_text, fold_script, cer_turns, word_accuracy_turns, escaped_html,
         delimiter_sniff, log_series, log_verdicts, log_divergence, log_summary, log_lines_shown, rolling_mean, best_checkpoints, finite_numbers,
-        regression_gates, findings, cosine_prev, pitch_stats, json_items, quota_errors, next_reset, quality_tags, metric_unwrap, dtw_distance, clip_signals, streaming_counts,
+        regression_gates, findings, cosine_prev, pitch_stats, json_items, quota_errors, next_reset, quality_tags, metric_unwrap, dtw_distance, clip_signals, distortion_landmarks, manifest_round_trip, cache_round_trip, report_round_trip, stream_divergence, streaming_counts,
     )
 }

@@ -110,18 +110,6 @@ f AS (
   FROM f JOIN r ON r.user_id = f.user_id AND r.rn = f.rn + 1),
 chunks AS (SELECT user_id, chunk, min(c0) AS c0, arg_max(c1, rn) AS c1, count(*) AS n_regions FROM f GROUP BY user_id, chunk)"""
 
-TURNS = """t AS (SELECT conv_id, turn, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS text FROM conversations),
-p AS (SELECT conv_id, turn, text AS a, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM t)"""
-
-
-def levenshtein_words(n: int) -> str:
-    """Edit distance of the first n words, by a fold over rows of the table."""
-    return f"""WITH {TURNS},
-q AS (SELECT conv_id, turn, list_slice({words('a')}, 1, {n}) AS x, list_slice({words('b')}, 1, {n}) AS y FROM p WHERE b IS NOT NULL),
-d AS (SELECT conv_id, turn, x, y, list_reduce(x, lambda row, w: list_reduce(y, lambda acc, v: list_append(acc, least(row[len(acc) + 1] + 1, acc[-1] + 1, row[len(acc)] + CASE WHEN v = w THEN 0 ELSE 1 END)), [row[1] + 1]), range(0, len(y) + 1)) AS last FROM q)
-SELECT conv_id, turn, round(CASE WHEN len(x) = 0 THEN 0.0 ELSE greatest(0.0, 1.0 - CAST(last[-1] AS DOUBLE) / len(x)) END, 6) AS accuracy FROM d"""
-
-
 c1, c2, v1, v2 = AS_SCRIPT
 AS_SCRIPT_SQL = f"translate(lower(text), '{c1 + v1},.', '{c2 + v2}්ං')"
 
@@ -134,6 +122,20 @@ def run_metrics(parity: int) -> str:
   FROM lineitem WHERE l_linenumber % 2 = {parity} GROUP BY l_suppkey) ON mcd_db, f0_rmse_cents, f0_corr, secs, duration_ratio, rtf INTO NAME metric VALUE value) GROUP BY metric"""
 
 
+def dtw(vectors: int, width: int) -> str:
+    """Alignment cost of neighbouring vectors, read as `vectors` rows of `width` numbers: one step for each anti-diagonal."""
+    far = lambda i, j: "sqrt(" + " + ".join(f"(a[{i * width + k + 1}] - b[{j * width + k + 1}]) ** 2" for k in range(width)) + ")"
+    steps = ["p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS a, lag(CAST(embedding AS DOUBLE[])) OVER (PARTITION BY label ORDER BY vec_id) AS b FROM embeddings)"]
+    for d in range(2 * vectors - 1):
+        cells = []
+        for i in range(max(0, d - vectors + 1), min(d, vectors - 1) + 1):
+            j = d - i
+            before = [f"d_{x}_{y}" for x, y in ((i - 1, j), (i, j - 1), (i - 1, j - 1)) if x >= 0 and y >= 0]
+            cells.append(far(i, j) + (f" + least({', '.join(before)})" if before else "") + f" AS d_{i}_{j}")
+        steps.append(f"s{d} AS MATERIALIZED (SELECT *, {', '.join(cells)} FROM {'p WHERE b IS NOT NULL' if not d else f's{d - 1}'})")
+    return f"WITH {', '.join(steps)} SELECT vec_id, round(d_{vectors - 1}_{vectors - 1}, 4) AS dtw FROM s{2 * vectors - 2}"
+
+
 ORACLE = {
     "chunk_regions": f"WITH RECURSIVE {CHUNKS} SELECT user_id, chunk, c0, c1, n_regions FROM chunks",
     "region_chunk_overlap": f"""WITH RECURSIVE {CHUNKS}
@@ -165,6 +167,15 @@ y AS (SELECT *, max(e) OVER (PARTITION BY user_id) - 500 AS total FROM x),
 z AS (SELECT event_id, user_id, s, row_number() OVER w - 1 AS i, least(total, coalesce(lead(s) OVER w, total), e + 300) AS b FROM y WINDOW w AS (PARTITION BY user_id ORDER BY s, e, event_id)),
 v AS (SELECT *, greatest(0.0, coalesce(lag(b) OVER (PARTITION BY user_id ORDER BY i), 0.0), s - 300) AS a FROM z)
 SELECT event_id, user_id, i AS clip_index, 'user' || user_id || '__' || lpad(CAST(i AS VARCHAR), 4, '0') AS clip_id, round(a, 6) AS a, round(b, 6) AS b FROM v WHERE b - a >= 900""",
+    "pad_fold": f"""WITH RECURSIVE {TRIMMED.removeprefix('WITH ')},
+r AS (SELECT user_id, event_id, s, e, max(e) OVER (PARTITION BY user_id) - 500 AS total, row_number() OVER w AS rn, lead(s) OVER w AS nxt FROM x WINDOW w AS (PARTITION BY user_id ORDER BY s, e, event_id)),
+q AS (SELECT *, least(total, coalesce(nxt, total), e + 300) AS b FROM r),
+f AS (
+  SELECT user_id, event_id, rn, greatest(0.0, s - 300) AS a, b, b - greatest(0.0, s - 300) >= 20000 AS keep, CASE WHEN b - greatest(0.0, s - 300) >= 20000 THEN b ELSE CAST(0.0 AS DOUBLE) END AS last FROM q WHERE rn = 1
+  UNION ALL
+  SELECT q.user_id, q.event_id, q.rn, greatest(0.0, f.last, q.s - 300), q.b, q.b - greatest(0.0, f.last, q.s - 300) >= 20000, CASE WHEN q.b - greatest(0.0, f.last, q.s - 300) >= 20000 THEN q.b ELSE f.last END
+  FROM f JOIN q ON q.user_id = f.user_id AND q.rn = f.rn + 1)
+SELECT event_id, user_id, rn - 1 AS clip_index, round(a, 6) AS a, round(b, 6) AS b FROM f WHERE keep""",
     "overlap_check": f"""SELECT user_id, count(*) AS violations FROM (SELECT user_id, s, lag(e) OVER (PARTITION BY user_id ORDER BY s, e, event_id) AS p FROM ({spans(600.0)})) WHERE s < p - 0.001 GROUP BY user_id""",
     "length_band": f"SELECT user_id, count(*) AS n FROM ({spans(1.0)}) WHERE e - s BETWEEN 3 AND 30 GROUP BY user_id",
     "coverage": f"""WITH b AS ({spans(60.0)}),
@@ -209,6 +220,23 @@ FROM (SELECT l_returnflag, CASE WHEN l_discount > 0.01 THEN l_extendedprice END
 SELECT CASE WHEN grouping(l_returnflag) = 1 THEN 'all' ELSE l_returnflag END AS l_returnflag, count(*) AS clips, round(sum(CASE WHEN q < 0.7 OR q > 1.4 THEN 1 ELSE 0 END) / greatest(count(*), 1), 6) AS failure_rate FROM r GROUP BY GROUPING SETS ((l_returnflag), ())""",
     "index_percentiles": """WITH g AS (SELECT lang, list_sort(list(n_chars)) AS l, count(*) AS n FROM documents GROUP BY lang)
 SELECT lang, l[n // 2 + 1] AS median, l[CAST(floor(n * 0.95) AS BIGINT) + 1] AS p95, l[CAST(floor((n - 1) * 0.95) AS BIGINT) + 1] AS p95_last FROM g""",
+    "cer_gaps": """WITH r AS (SELECT l_returnflag, CASE WHEN l_linenumber <> 2 THEN l_tax END - l_discount AS g FROM lineitem)
+SELECT CASE WHEN grouping(l_returnflag) = 1 THEN 'all' ELSE l_returnflag END AS name, count(*) AS clips, round(count(*) FILTER (g > 0.02) / count(*), 6) AS failure_rate, count(g) AS n, round(avg(g), 6) AS mean, round(stddev_pop(g), 6) AS std
+FROM r GROUP BY GROUPING SETS ((l_returnflag), ())""",
+    "training_plan": """WITH p AS (SELECT lang, greatest(1, count(*) // 8) AS steps FROM documents GROUP BY lang)
+SELECT lang, steps AS steps_per_epoch, round(steps * 40 * 1.42 / 3600, 6) AS total_hours, CAST(greatest(1, ceil(steps * 40 * 1.42 / 3600 / 0.5)) AS BIGINT) AS sessions FROM p""",
+    "episode_counts": """WITH e AS (SELECT o_custkey, bool_or(o_orderpriority = '1-URGENT') AS failed FROM orders GROUP BY o_custkey)
+SELECT count(*) FILTER (NOT failed) AS complete, count(*) FILTER (failed) AS partial FROM e""",
+    "scored_transcripts": f"""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 0.0 ELSE 1.0 END AS accuracy FROM documents WHERE text IS NOT NULL AND doc_id % 5 <> 0 AND (text <> '' OR doc_id % 3 = 0)""",
+    "kept_durations": """SELECT l.doc_id AS clip_id, arg_max(l_extendedprice, (l_linenumber, l_extendedprice)) AS duration FROM (SELECT doc_id FROM labels WHERE quality = 1) l JOIN lineitem ON l_orderkey = l.doc_id GROUP BY l.doc_id""",
+    "conditioning_clip": """WITH r AS (SELECT doc_id, source, (doc_id * 7919) % 10007 AS o FROM labels JOIN documents USING (doc_id)),
+n AS (SELECT doc_id, source, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS other FROM r WINDOW w AS (PARTITION BY source ORDER BY o, doc_id))
+SELECT doc_id, source, CASE WHEN other <> doc_id THEN other END AS conditioning FROM n""",
+    "manifest_round_trip": "SELECT doc_id, lang, coalesce(length(trim(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), ' ')), 0) AS n FROM documents",
+    "cache_round_trip": "SELECT user_id AS episode, count(*) AS n, max(event_id) AS last_chunk FROM events WHERE user_id % 50 = 1 GROUP BY user_id",
+    "report_round_trip": "SELECT source, count(*) AS clips, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source",
+    "exact_rounds": "SELECT event_id, round(value, 2) AS rounded FROM events",
+    "dtw_distance": dtw(8, 8),
     "speaker_hours": "SELECT source, count(*) AS clips, round(sum(n_chars) / 3600, 6) AS hours, median(n_chars) AS median, max(n_chars) AS longest FROM documents GROUP BY source",
     "pooled_ratings": """WITH r AS (SELECT lang, quality * 4 + 1 AS x FROM labels JOIN documents USING (doc_id))
 SELECT CASE WHEN grouping(lang) = 1 THEN 'all' ELSE lang END AS lang, count(x) AS n, round(avg(x), 6) AS mean, round(100 * avg(x) / 5, 6) AS percent, round(stddev_pop(x), 6) AS sd FROM r GROUP BY GROUPING SETS ((lang), ())""",
@@ -239,9 +267,6 @@ SELECT n_words, a_id, b_id, CASE WHEN ends_with(rtrim(s), '.') THEN s ELSE regex
     "fold_roman": f"SELECT doc_id, {fold_roman('text')} AS folded FROM documents",
     "normalise_text": f"SELECT doc_id, {spoken('text')} AS spoken FROM documents",
     "fold_script": f"SELECT doc_id, CASE WHEN regexp_matches(x, '[඀-෿]') THEN {fold_script('x')} ELSE {fold_roman('x')} END AS folded FROM (SELECT doc_id, {AS_SCRIPT_SQL} AS x FROM documents)",
-    "cer_pairs": f"""WITH {TURNS}, q AS (SELECT conv_id, turn, {strip(f"regexp_replace(substr(a, 1, 200), '{BLANK}+', ' ', 'g')")} AS x, {strip(f"regexp_replace(substr(b, 1, 200), '{BLANK}+', ' ', 'g')")} AS y FROM p WHERE b IS NOT NULL)
-SELECT conv_id, turn, round(CASE WHEN length(x) = 0 THEN CASE WHEN length(y) > 0 THEN 1.0 ELSE 0.0 END ELSE levenshtein(x, y) / length(x) END, 6) AS cer FROM q""",
-    "word_accuracy_pairs": levenshtein_words(12),
     "escaped_html": "SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;') AS escaped, to_base64(encode(url)) AS encoded FROM pages",
     "delimiter_sniff": f"""WITH l0 AS ({LINES}), l AS (SELECT file, line_no, translate(translate(line, 'ETOA', 'එටඔඅ'), '"', chr(39)) AS line FROM l0),
 d AS (SELECT file, line_no, delim, ord, string_split(line, delim) AS cells FROM l, (VALUES ('|', 0), (chr(9), 1), (';', 2), (',', 3)) AS v(delim, ord) WHERE trim(replace(line, delim, '')) <> ''),
@@ -302,3 +327,6 @@ SELECT CASE WHEN rate >= 22050 THEN 'hifi' ELSE 'lofi' END AS quality, CAST(leas
 SELECT event_id, round((epoch_us(date_trunc('day', local) + INTERVAL 1 DAY + INTERVAL 8 HOUR) - us) / 1e6, 6) AS seconds_left FROM t""",
     "streaming_counts": "SELECT epoch_us(ts) // 300000000 * 300 AS window_start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL",
 }
+
+ORACLE["gates_overall"] = f"SELECT count(ok) AS compared, count(*) FILTER (NOT ok) AS failed, coalesce(bool_and(coalesce(ok, true)), true) AS passed FROM ({ORACLE['regression_gates']})"
+ORACLE["stream_divergence"] = ORACLE["log_divergence"].replace("SELECT log_id, NOT", "SELECT log_id, count(*) AS seen, NOT")

@@ -76,9 +76,20 @@ def read_json_array(spark: SparkSession, path: str, schema: str | None = None) -
 
 
 def read_chunk_cache(spark: SparkSession, path: str) -> DataFrame:
-    """(chunk, reply) of cached replies; files that hold no JSON are left out, so they are fetched again."""
+    """(episode, chunk, reply) of cached replies, episode/chunk_NNN.json; files that hold no JSON are left out, so they are
+    fetched again (and can be found by `broken_chunks`)."""
     docs = read_json_document(spark, path).filter("document IS NOT NULL")
-    return docs.select(F.regexp_extract("file", r"chunk_(\d+)", 1).cast("int").alias("chunk"), F.col("document").alias("reply"))
+    return docs.select(*_chunk_name(), F.col("document").alias("reply"))
+
+
+def broken_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """(episode, chunk, file) of cached files that hold no JSON, for deletion."""
+    return read_json_document(spark, path).filter("document IS NULL").select(*_chunk_name(), "file")
+
+
+def _chunk_name():
+    name = r"([^/]+)/(?:[^/]*_)?chunk_(\d+)[^/]*$"
+    return F.url_decode(F.regexp_extract("file", name, 1)).alias("episode"), F.regexp_extract("file", name, 2).cast("int").alias("chunk")
 
 
 def read_responses(spark: SparkSession, paths) -> DataFrame:
@@ -170,8 +181,23 @@ def read_audio(spark: SparkSession, root: str, pattern: str = "*.wav") -> DataFr
     return files.select("path", "content").mapInPandas(decode, "path string, samples array<float>, rate long")
 
 
-def cached_audio(spark: SparkSession, root: str, cache: str) -> DataFrame:
-    """Decoded audio, kept as Parquet: decoded once, read from the cache afterwards."""
-    if not _exists(spark, f"{cache.rstrip('/')}/_SUCCESS"):
-        read_audio(spark, root).write.mode("overwrite").parquet(cache)
-    return spark.read.parquet(cache)
+def cut_audio(audio: DataFrame, offset: float = 0.0, duration: float | None = None) -> DataFrame:
+    """(path, samples, rate) cut to `duration` seconds from `offset` on."""
+    first = F.floor(F.lit(offset) * F.col("rate")).cast("int")
+    size = F.size("samples") if duration is None else F.floor(F.lit(duration) * F.col("rate")).cast("int")
+    return audio.withColumn("samples", F.slice("samples", first + 1, F.greatest(size, F.lit(0))))
+
+
+def cached_audio(spark: SparkSession, root: str, cache: str, *, offset: float = 0.0, duration: float | None = None) -> DataFrame:
+    """Decoded audio, kept as Parquet by file, offset and duration: what the cache lacks is decoded and added, so new files
+    are found, and other cuts of a file do not meet. A cut that is decoded twice at once counts once."""
+    kept = F.lit(-1.0 if duration is None else float(duration))
+    own = (F.col("offset") == F.lit(float(offset))) & (F.col("duration") == kept)
+    files = list_files(spark, root, "*.wav").select("path")
+    there = spark.read.parquet(cache).filter(own) if _exists(spark, f"{cache.rstrip('/')}/_SUCCESS") else None
+    missing = files if there is None else files.join(there.select("path"), "path", "left_anti")
+    if not missing.isEmpty():
+        fresh = cut_audio(read_audio(spark, root).join(missing, "path", "left_semi"), offset, duration)
+        fresh.withColumn("offset", F.lit(float(offset))).withColumn("duration", kept).write.mode("append").parquet(cache)
+    rows = spark.read.parquet(cache).filter(own).join(files, "path", "left_semi")
+    return rows.select("path", "samples", "rate").dropDuplicates(["path"])

@@ -18,6 +18,23 @@ def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').csv(path)
 
 
+def export_manifest(df: DataFrame, path: str, sep: str = ",") -> None:
+    """The same as a folder of part files that each begin with a UTF-8 byte order mark, as spreadsheets want it: the mark is
+    the first character of the header line that every part has."""
+    first, *rest = df.columns
+    quoted = lambda c: F.when(F.col(c).cast("string").rlike(f'[{sep}"\r\n]'), F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    line = F.concat_ws(sep, *[quoted(c) for c in df.columns]).alias("value")
+    marked = f"\ufeff{sep.join([first, *rest])}"
+
+    def headed(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([marked])], names=["value"])
+        yield from batches
+
+    df.select(line).mapInArrow(headed, "value string").write.mode("overwrite").text(path)
+
+
 def rebuild_aggregate(manifests: DataFrame, path: str) -> None:
     """The combined manifest, made anew from what lies on disk; running it twice changes nothing."""
     manifests.write.mode("overwrite").parquet(path)
@@ -42,13 +59,22 @@ def json_report(df: DataFrame) -> DataFrame:
 
 
 def prepare_report(clips: DataFrame, reasons: DataFrame) -> DataFrame:
-    """One row (value): speakers with clips and hours, totals, durations, text sources and drop counts as one JSON object."""
-    one = lambda df, c: df.agg(F.map_from_entries(F.collect_list(c)).alias("m"))  # noqa: E731  one entry for each speaker or reason
-    speakers = one(clips.groupBy("speaker").agg(F.count("*").alias("clips"), F.round(F.sum("duration") / 3600, 2).alias("hours")), F.struct("speaker", F.struct("clips", "hours")))
-    dropped = one(reasons, F.struct("drop_reason", "n"))
-    totals = clips.agg(F.count("*").alias("clips"), F.round(F.sum("duration") / 3600, 2).alias("total_hours"), F.round(F.median("duration"), 2).alias("duration_median_s"), F.round(F.max("duration"), 2).alias("duration_max_s"))
-    joined = totals.crossJoin(F.broadcast(speakers.withColumnRenamed("m", "speakers"))).crossJoin(F.broadcast(dropped.withColumnRenamed("m", "dropped")))
-    return joined.select(F.to_json(F.struct("speakers", "clips", "total_hours", "duration_median_s", "duration_max_s", "dropped")).alias("value"))
+    """One row (value): speakers with clips and hours, totals, durations, and drop counts as one JSON object. Where clips has
+    them: train and eval clips (is_eval), sample rates of the source (sample_rate) and text sources (text_source)."""
+    one = lambda df, c, name: df.agg(F.map_from_entries(F.sort_array(F.collect_list(c))).alias(name))  # noqa: E731  one entry for each speaker, rate, source or reason
+    counted = lambda c: clips.groupBy(F.col(c).cast("string").alias("k")).agg(F.count("*").alias("n")).filter("k IS NOT NULL")
+    speakers = one(clips.groupBy("speaker").agg(F.count("*").alias("clips"), F.round(F.sum("duration") / 3600, 2).alias("hours")), F.struct("speaker", F.struct("clips", "hours")), "speakers")
+    parts = [speakers, one(reasons, F.struct("drop_reason", "n"), "dropped")]
+    for column, name in (("sample_rate", "source_sample_rates"), ("text_source", "text_sources")):
+        if column in clips.columns:
+            parts.append(one(counted(column), F.struct("k", "n"), name))
+    totals = [F.count("*").alias("clips"), F.round(F.sum("duration") / 3600, 2).alias("total_hours"), F.round(F.median("duration"), 2).alias("duration_median_s"), F.round(F.max("duration"), 2).alias("duration_max_s")]
+    if "is_eval" in clips.columns:
+        totals += [F.count_if(~F.col("is_eval")).alias("train_clips"), F.count_if("is_eval").alias("eval_clips")]
+    joined = clips.agg(*totals)
+    for part in parts:  # all of one row
+        joined = joined.crossJoin(F.broadcast(part))
+    return joined.select(F.to_json(F.struct(*joined.columns)).alias("value"))
 
 
 def markdown_table(df: DataFrame, limit: int = 1000) -> str:
@@ -138,8 +164,9 @@ def append_result(df: DataFrame, path: str) -> None:
 
 
 def write_cache(replies: DataFrame, path: str) -> None:
-    """Replies keyed by episode and chunk."""
-    replies.select("episode", "chunk", "reply").write.mode("append").partitionBy("episode").parquet(path)
+    """Replies keyed by episode and chunk. The partitions of the episodes in `replies` are replaced, so a run that is repeated
+    leaves one reply to each chunk; replies must hold all of an episode's."""
+    replies.select("episode", "chunk", "reply").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("episode").parquet(path)
 
 
 def completion(episodes: DataFrame, failed_chunks: DataFrame, key: str = "episode") -> DataFrame:
