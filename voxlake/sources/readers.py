@@ -53,7 +53,7 @@ def read_pipe_rows(spark: SparkSession, path: str, least: int = 4) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str, key: str = "file") -> DataFrame:
     """(file, line_no, line) of whole text files, in their order."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias(key), F.regexp_replace("value", "^﻿", "").alias("value"))
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_path").alias(key), F.regexp_replace("value", "^﻿", "").alias("value"))
     lines = whole.select(key, F.posexplode(F.split("value", r"\r\n|\r|\n", -1)).alias("line_no", "line"))
     return lines.select(key, F.col("line_no").cast("long").alias("line_no"), "line")
 
@@ -63,10 +63,10 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_document(spark: SparkSession, path: str) -> DataFrame:
-    """(file, document): the text of each JSON file, null where it is invalid; no rows for a missing path."""
+    """(file, document): the text of each JSON file at any depth, null where it is invalid; no rows for a missing path."""
     if not _exists(spark, path):
         return spark.createDataFrame([], "file string, document string")
-    whole = spark.read.text(path, wholetext=True)
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return whole.select(F.col("_metadata.file_path").alias("file"), F.when(F.try_parse_json("value").isNotNull(), F.col("value")).alias("document"))
 
 

@@ -30,7 +30,8 @@ def export_manifest(df: DataFrame, path: str, sep: str = ",") -> None:
         import pyarrow as pa
 
         yield pa.RecordBatch.from_arrays([pa.array([marked])], names=["value"])
-        yield from batches
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
 
     df.select(line).mapInArrow(headed, "value string").write.mode("overwrite").text(path)
 
