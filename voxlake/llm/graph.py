@@ -69,7 +69,7 @@ def within_lists(members: DataFrame, keys: list[str], extra: list[str] = (), con
 
 
 #: Members that are compared with one hub in one block.
-BLOCK = 256
+BLOCK = 64
 
 
 def in_blocks(pairs: DataFrame) -> DataFrame:
