@@ -319,13 +319,21 @@ def test_page_text(spark):
     assert html.main_text(df).count() == len(pages) and html.main_text(df.limit(0)).count() == 0
 
 
-def test_fit_learns_whole_runs():
-    """All parts of a run without spaces are counted, as the scorer cuts it."""
+def test_runs_of_letters_have_no_inner_edges(monkeypatch):
+    """A run of 500 letters is learned and scored as one word; only beyond LONGEST is it cut, alike on both sides."""
     import pyarrow as pa
 
-    long, parts = "ab" * 32 + "cd" * 40 + "xyz", " ".join(["ab" * 32, "cd" * 32, "cd" * 8 + "xyz"])
+    rng = np.random.default_rng(3)
+    run = "".join(rng.choice(list("abcdefg"), 500))
     fit = lambda t: langid._fit_group([pa.scalar("x")], pa.table({"text": [t]}), 3)["parts"].to_pylist()
-    assert langid.LONGEST == 64 and fit(long) == fit(parts) != fit("ab" * 32)
+    as_bytes = lambda levels: [[np.ascontiguousarray(x).tobytes() for level in levels for x in level]]
+    assert fit(run) == as_bytes(langid.fit_language({run: 1}, 3)) != fit(f"{run[:64]} {run[64:]}")
+    models = langid.Models.merge({"x": langid.fit_language({run: 1, "abc": 2}, 3), "y": langid.fit_language({"gfe": 3, "abab": 1}, 3)}, 3)
+    total, sizes = models.score([run])
+    monkeypatch.setattr(langid, "TOGETHER", 100)
+    assert np.allclose(langid.Scorer(models)([run, f"{run} abc", run])[0], -total[0] / sizes[0])
+    monkeypatch.setattr(langid, "LONGEST", 64)
+    assert fit(run) == fit(" ".join(run[i : i + 64] for i in range(0, 500, 64)))
 
 
 def page_texts(spark, pages):

@@ -10,8 +10,11 @@ posterior and the rejection threshold are calibrated on sample texts that the mo
 Models are fitted on a bounded sample: of each language, whole texts of about `sample_chars` characters, chosen by a
 hash of id and text. Every whole text is then scored, each distinct word once for each worker's cache.
 
+Runs of letters, in scripts without blanks whole clauses, are words of any length up to LONGEST letters; a longer run is
+learned and scored in parts of that length.
+
 Defined results: a text that is null or has no letter gets `und` and score 0; with no learned language every text does;
-ties go to the language that sorts first; other columns pass through.
+ties go to the language that sorts first; repeated rows are rows of their own, in the sample too; other columns pass through.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNDETERMINED = "und"
 #: Words that a worker keeps scores of; older ones are forgotten together.
 CACHED_WORDS = 300_000
-#: Letters of a word that are scored together; a longer run of letters is scored in parts.
-LONGEST = 64
+#: Characters of those words; letters that are scored together, and of a word: only a run of more letters is cut in parts.
+CACHED_CHARS, TOGETHER, LONGEST = 1 << 23, 1 << 18, 1 << 16
 _EDGE = np.uint64(0x110001), np.uint64(0x110002)
 
 
@@ -154,7 +157,7 @@ class Scorer:
     """Cross-entropies of texts, with the scores of words seen before."""
 
     def __init__(self, models: Models):
-        self.models, self.known = models, {}
+        self.models, self.known, self.held = models, {}, 0
         self.table, self.sizes = np.zeros((0, len(models.langs))), np.zeros(0)
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
@@ -162,11 +165,16 @@ class Scorer:
         found = [words_of(t) for t in texts]
         flat = [w[i : i + LONGEST] for ws in found for w in ws for i in range(0, len(w), LONGEST)] if any(len(w) > LONGEST for ws in found for w in ws) else [w for ws in found for w in ws]
         count = [sum(-(-len(w) // LONGEST) for w in ws) for ws in found]
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > CACHED_WORDS or self.held > CACHED_CHARS:
             self.__init__(self.models)
         fresh = [w for w in dict.fromkeys(flat) if w not in self.known]
-        for i in range(0, len(fresh), 50_000):
-            part = fresh[i : i + 50_000]
+        ends = np.cumsum([len(w) + 2 for w in fresh])
+        a = 0
+        while a < len(fresh):
+            before = ends[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
+            part, a = fresh[a:b], b
+            self.held += int(ends[b - 1] - before)
             total, sizes = self.models.score(part)
             self.known.update(zip(part, range(len(self.known), len(self.known) + len(part)), strict=True))
             self.table, self.sizes = np.concatenate([self.table, total]), np.concatenate([self.sizes, sizes])
