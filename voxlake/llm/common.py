@@ -114,7 +114,7 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def spans(offsets: np.ndarray, limit: int = 1 << 20):
+def spans(offsets: np.ndarray, limit: int = 1 << 18):
     """Consecutive row ranges (a, b) of at most `limit` bytes each, or of one row."""
     a, n = 0, len(offsets) - 1
     while a < n:

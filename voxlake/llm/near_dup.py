@@ -205,7 +205,9 @@ def shared_differences(groups: DataFrame, comp: DataFrame, sets: DataFrame, thre
 #: Collisions with a hub from which on a member's differences to it are looked at.
 NEAR = 15
 #: Rounds over the posting lists' far members, and over the lists of differences, before the pairs left are joined.
-ROUNDS, DIFFERENCE_ROUNDS = 4, 2
+ROUNDS, DIFFERENCE_ROUNDS = 4, 1
+#: So few far postings are joined at once.
+FEW = 1_000
 
 
 def linked(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], *, width: int, matches: int, coordinates: int, threshold: int) -> DataFrame:
@@ -244,9 +246,11 @@ def linked(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], *, width: i
         placed = met.join(counted.select("hub", "node", "agree"), ["hub", "node"])
         goes_on = placed.groupBy("token").agg(F.min("agree").alias("least")).filter(F.col("least") < NEAR).select("token")
         lists = materialise(placed.filter(F.col("agree") < NEAR + coordinates - matches).join(small_side(materialise(goes_on, "goes_on")), "token", "left_semi").select("token", "node", "common"), "lists")
+        if lists.count() <= FEW:
+            break
     if groups is None:
         return comp
-    if lists is not None and turn == ROUNDS - 1:
+    if lists is not None:
         pairs = materialise(within_lists(lists.join(comp, "node"), ["token"]).distinct(), "pairs")
         if not pairs.isEmpty():
             merge(collisions(pairs, some))

@@ -144,7 +144,7 @@ def powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]
     return out
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, *, end_id: int = 2, window: int = 4096, query_terms: int = 24, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text", slots: int = 1 << 20, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, *, end_id: int = 2, window: int = 4096, query_terms: int = 24, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text", slots: int = 1 << 19, with_ids: bool = False) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
     bounded_batches(docs.sparkSession, 256)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids

@@ -50,7 +50,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 #: Bytes that are hashed together; a longer text is hashed word group by word group.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

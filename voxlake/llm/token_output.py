@@ -30,7 +30,7 @@ from voxlake.llm.tokens import encoder
 FILE_BYTES = 24 << 20
 
 
-def token_rows(docs: DataFrame, vocabulary: str, *, end_id: int | None, text_col: str = "text", slots: int = 1 << 20) -> DataFrame:
+def token_rows(docs: DataFrame, vocabulary: str, *, end_id: int | None, text_col: str = "text", slots: int = 1 << 19) -> DataFrame:
     """docs with ids and n_tokens in place of the text; order and partitions stay."""
     bounded_batches(docs.sparkSession, 256)
     keep = [c for c in docs.columns if c not in (text_col, "ids", "n_tokens")]
@@ -50,7 +50,7 @@ def token_rows(docs: DataFrame, vocabulary: str, *, end_id: int | None, text_col
     return source.mapInArrow(encoded, schema)
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", row_group_bytes: int = 8 << 20, page_rows: int = 2_000, file_bytes: int = 512 << 20, slots: int = 1 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", row_group_bytes: int = 8 << 20, page_rows: int = 2_000, file_bytes: int = 512 << 20, slots: int = 1 << 19) -> None:
     """Write docs' ids to `path` in ascending id order, one range of ids for each file.
 
     A file holds about `file_bytes` of text, less where that would leave cores without work.
