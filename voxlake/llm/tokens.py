@@ -109,7 +109,7 @@ def cut(data: np.ndarray, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Bytes that are cut and looked up together.
-BATCH = 1 << 18
+BATCH = 1 << 19
 #: A blank between two letters: both rules begin a new piece there, whatever stands around.
 _SAFE = re.compile(rb"(?<=[A-Za-z]) (?=[A-Za-z])")
 
@@ -125,7 +125,7 @@ def _pieces(raw: bytes):
 class Encoder:
     """texts -> list of id arrays (int32), without special tokens added."""
 
-    def __init__(self, path: str, slots: int = 1 << 19):
+    def __init__(self, path: str, slots: int = 1 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -250,7 +250,7 @@ class Encoder:
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str, slots: int = 1 << 19) -> Encoder:
+def encoder(path: str, slots: int = 1 << 20) -> Encoder:
     """One encoder for each vocabulary and Python worker."""
     if (path, slots) not in _encoders:
         _encoders[path, slots] = Encoder(path, slots)
