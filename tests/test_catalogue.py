@@ -48,3 +48,13 @@ def test_query(spark, db, name):
 
 def test_every_statement_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_escaped_html_of_long_urls(spark, tmp_path):
+    rows = [(i, f"<a href='{i}'>&</a>", "é" + "x" * n) for i, n in enumerate((0, 54, 55, 56, 57, 112, 113, 5000))] + [(-1, None, None), (-2, "", "")]
+    spark.createDataFrame(rows, "page_id long, html string, url string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    df = QUERIES["escaped_html"](spark, str(tmp_path))
+    said = con.execute(ORACLE["escaped_html"])
+    assert rows_of(df.columns, df.collect()) == rows_of([c[0] for c in said.description], said.fetchall())

@@ -421,7 +421,9 @@ def word_accuracy_turns(spark, d):
 
 
 def escaped_html(spark, d):
-    return table(spark, d, "pages").select("page_id", T.html_escape(F.col("html")).alias("escaped"), F.base64(F.encode("url", "UTF-8")).alias("encoded"))
+    # Spark breaks base64 into lines of 76 characters
+    encoded = F.translate(F.base64(F.encode("url", "UTF-8")), "\r\n", "")
+    return table(spark, d, "pages").select("page_id", T.html_escape(F.col("html")).alias("escaped"), encoded.alias("encoded"))
 
 
 # ---- discovery, logs ----
