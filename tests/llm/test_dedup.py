@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import random
 import re
 
@@ -179,6 +180,23 @@ def test_line_dedup_odd_cases(spark, monkeypatch):
     assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(df).collect()} == removed_lines(rows)
 
 
+def test_line_dedup_writes_few_scratch_files(spark):
+    """One file for each of many shuffle partitions starts several processes for each on a local file system."""
+    rows = [(i, f"x{i}\n" + "\n".join(f"{i % 300} {k}" for k in range(4))) for i in range(900)]
+    set_before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    mark = common.scratch_mark()
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 96)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k, v in set_before.items():
+            spark.conf.set(k, v)
+    assert got == removed_lines(rows)
+    written = [len(list(pathlib.Path(f.removeprefix("file://")).rglob("part-*.parquet"))) for f in common._written[mark:]]
+    assert len(written) == 2 and max(written) <= max(6, spark.sparkContext.defaultParallelism)
+
+
 def bench_words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(ASCII_LOWER))
 

@@ -61,6 +61,13 @@ def materialise_at(df: DataFrame, path: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """df dealt to a sixteenth of the shuffle partitions, or one for each core, so that a short table of an aggregate over
+    many partitions isn't written as so many files. Rows should be the same however often they are computed."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16))
+
+
 def settled(df: DataFrame, name: str, mark: int) -> DataFrame:
     """Write df as an operator's result and delete the scratch tables written since the mark."""
     path = scratch_path(df.sparkSession, name)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import materialise, row_key, small_side
+from voxlake.llm.common import few_files, materialise, row_key, small_side
 
 
 def windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
@@ -38,7 +38,7 @@ def later_windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> D
     rows = windows(docs, window, id_col, text_col)
     place = F.struct(F.col("sid").isNotNull().alias("there"), "sid", "key", "at")
     repeated = rows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter(F.col("n") > 1).select("h", "g", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at"))
-    repeated = small_side(materialise(repeated, "repeated"))
+    repeated = small_side(materialise(few_files(repeated), "repeated"))
     # a row's key is made of its id and text, so key and place tell an occurrence
     return rows.join(repeated, ["h", "g"]).filter((F.col("key") != F.col("first_key")) | (F.col("at") != F.col("first_at"))).select("sid", "key", "at")
 
@@ -47,10 +47,10 @@ def dedup_lines(docs: DataFrame, *, window: int = 3, id_col: str = "doc_id", tex
     """docs with the text without repeated passages, and the counts n_lines and n_removed."""
     later = later_windows(docs, window, id_col, text_col)
     covered = (
-        later.groupBy("sid", "key").agg(F.collect_set("at").alias("at"))
+        later.groupBy("sid", "key").agg(F.sort_array(F.collect_set("at")).alias("at"))
         .select(F.col("sid").alias("__cut_sid"), F.col("key").alias("__cut_key"), F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + (window - 1))))).alias("__cut"))
     )
-    covered = materialise(covered, "covered")
+    covered = materialise(few_files(covered), "covered")
     # the texts are only shuffled where the list of documents to cut is long
     covered = small_side(covered, covered.agg(F.sum(1 + F.size("__cut") / 20)).first()[0] or 0)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
